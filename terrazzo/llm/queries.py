@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terrazzo.llm import bpe, chat, topk
+from terrazzo.llm import bpe, chat, langid, licenses, pii, topk
 from terrazzo.llm.common import table
 
 
@@ -19,6 +19,21 @@ def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digest(chat.format_conversations(rows.unionByName(planted)))
 
 
+def op3_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = langid.fit(docs, ~langid.held_out())
+    found = langid.identify(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", langid.held_out().alias("held_out"), "lang_pred", "score")
+
+
+def op7_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents")).drop("blocks")
+
+
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find(table(spark, sf_dir, "documents"), keep_text=False)
+
+
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, keep_ids=False)
 
@@ -28,7 +43,7 @@ def op9_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_chat_format, op5_bpe, op9_topk)}
+    return {f.__name__: f for f in (op2_chat_format, op3_langid, op5_bpe, op7_licenses, op9_topk, op10_pii)}
 
 
 def oracle_sql() -> dict[str, str]:
