@@ -11,6 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 U64 = np.uint64
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,9 +29,15 @@ def shared_dir(spark: SparkSession) -> str:
 
 def stash(df: DataFrame, name: str) -> DataFrame:
     """Cuts lineage: df as a Parquet table in the shared folder, which outlives any executor."""
-    path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    was = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")  # the table replaces the shuffles that led to it
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, was)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:

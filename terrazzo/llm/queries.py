@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terrazzo.llm import bpe, chat, decontaminate, langid, licenses, neardup, pii, substrings, topk
+from terrazzo.llm import bpe, chat, decontaminate, langid, licenses, linededup, neardup, pii, substrings, topk
 from terrazzo.llm.common import table
 
 
@@ -31,6 +31,11 @@ def op3_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", langid.held_out().alias("held_out"), "lang_pred", "score")
 
 
+def op6_linededup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = linededup.dedup_lines(table(spark, sf_dir, "documents"))
+    return done.select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
 def op7_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents")).drop("blocks")
 
@@ -56,7 +61,7 @@ def op9_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_decontaminate, op2_chat_format, op3_langid, op4_neardup, op5_bpe, op7_licenses, op8_substrings, op9_topk, op10_pii)}
+    return {f.__name__: f for f in (op1_decontaminate, op2_chat_format, op3_langid, op4_neardup, op5_bpe, op6_linededup, op7_licenses, op8_substrings, op9_topk, op10_pii)}
 
 
 def oracle_sql() -> dict[str, str]:
