@@ -1 +1 @@
-"""Part of the raster engine."""
+"""Column functions: pixel algebra, geometry, text."""

@@ -1 +1 @@
-"""Part of the raster engine."""
+"""Whole plans: the mosaic pipeline and the registered queries."""

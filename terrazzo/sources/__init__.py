@@ -1 +1 @@
-"""Part of the raster engine."""
+"""Inputs: rasters as pixel tables, scene catalogues, polygons as edge tables, GeoJSON and GeoTIFF."""
