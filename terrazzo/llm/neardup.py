@@ -4,8 +4,7 @@ Signing: words are split at ASCII white space, A-Z lower-cased; a document's set
 64-bit hashes. HASHES minima make BANDS band keys of ROWS minima each, and their low BITS bits are packed into a signature.
 Equal sets form a class first, which stands for its members. A band's bucket then links each member to the bucket's most
 central one (the member whose buckets are the fullest), so a group of n copies gives n candidates and not n squared; members
-that stay outside their hub's component get a hub among themselves, and in the end meet all of the bucket that is in other
-components. Candidates whose collision-corrected similarity, by bit counts, is more than SLACK below the threshold are
+that stay outside their hub's component then meet all of the bucket that is in other components. Candidates whose collision-corrected similarity, by bit counts, is more than SLACK below the threshold are
 dropped (about five standard deviations), as are those whose parity bitmaps (a bit flipped for each shingle) differ in more
 bits than similar sets can differ in shingles; the others are confirmed on full sets. A pair at the threshold shares no
 band with probability (1 - 0.8**4)**32 = 5e-8.
@@ -27,7 +26,7 @@ from pyspark.sql import functions as F
 from terrazzo.llm.common import ASCII_LOWER, U64, blocks, mix, spaced, span_hashes, stash, utf8, word_spans
 from terrazzo.llm.components import components
 
-HASHES, BANDS, ROWS, BITS, SLACK, PARITY, HUBS = 128, 32, 4, 4, 0.18, 512, 2
+HASHES, BANDS, ROWS, BITS, SLACK, PARITY = 128, 32, 4, 4, 0.18, 512
 _RNG = np.random.default_rng(41)
 A, B = _RNG.integers(0, 2**63, HASHES, dtype=np.uint64) * U64(2) + U64(1), _RNG.integers(0, 2**63, HASHES, dtype=np.uint64)
 PLACE = _RNG.integers(0, 2**63, 64, dtype=np.uint64) * U64(2) + U64(1)
@@ -179,19 +178,17 @@ def near_duplicates(documents: DataFrame, k: int = 5, percent: int = 80) -> Data
         return confirm(near, own, k, percent)
 
     ordered = lambda a, b: [F.least(a, b).alias("u"), F.greatest(a, b).alias("v")]
-    edges = repeated
-    outside = buckets.join(weight, "doc_id")
-    for _ in range(HUBS):
-        hubs = outside.groupBy("band").agg(F.max(F.struct("w", (-F.col("doc_id")).alias("id"))).alias("h")).select("band", (-F.col("h.id")).alias("hub"))
-        met = stash(outside.join(hubs, "band"), "met")
-        edges = stash(linked_by(met.where("doc_id <> hub").select(*ordered("doc_id", "hub")).distinct()).unionByName(edges), "links")
-        labels = components(edges)
-        at = lambda c: labels.select(F.col("id").alias(c), F.col("component").alias(f"{c}_in"))
-        inside = met.join(at("doc_id"), "doc_id", "left").join(at("hub"), "hub", "left").where(F.coalesce("doc_id_in", "doc_id") != F.coalesce("hub_in", "hub"))
-        outside = stash(inside.select("doc_id", "band", "n", "w"), "outside")
-
-    every = stash(buckets.join(outside.select("band").distinct(), "band", "left_semi").join(at("doc_id"), "doc_id", "left").select("band", "doc_id", F.coalesce("doc_id_in", "doc_id").alias("c")).join(short, "doc_id"), "named")
-    late = every.join(outside.select("band", "doc_id"), ["band", "doc_id"], "left_semi")
+    hubs = buckets.join(weight, "doc_id").groupBy("band").agg(F.max(F.struct("w", (-F.col("doc_id")).alias("id"))).alias("h")).select("band", (-F.col("h.id")).alias("hub"))
+    met = stash(buckets.join(hubs, "band"), "met")
+    edges = stash(linked_by(met.where("doc_id <> hub").select(*ordered("doc_id", "hub")).distinct()).unionByName(repeated), "links")
+    labels = components(edges)
+    at = lambda c: labels.select(F.col("id").alias(c), F.col("component").alias(f"{c}_in"))
+    inside = met.join(at("doc_id"), "doc_id", "left").join(at("hub"), "hub", "left").select("band", "doc_id", F.coalesce("doc_id_in", "doc_id").alias("c"), F.coalesce("hub_in", "hub").alias("hub_c"))
+    inside = stash(inside, "inside")
+    outside = inside.where("c <> hub_c").select("band", "doc_id")
+
+    every = inside.drop("hub_c").join(outside.select("band").distinct(), "band", "left_semi").join(short, "doc_id")
+    late = every.join(outside, ["band", "doc_id"], "left_semi")
     rest = late.alias("x").join(every.alias("y"), (F.col("x.band") == F.col("y.band")) & (F.col("x.c") != F.col("y.c")) & close)
     labels = components(edges.unionByName(confirm(rest.select(*ordered(F.col("x.doc_id"), F.col("y.doc_id"))).distinct(), own, k, percent)))
 
