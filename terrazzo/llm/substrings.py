@@ -136,17 +136,21 @@ def sorted_out(length: int):
         begin = np.cumsum([0, *(len(x) for x in texts)])
         of = np.searchsorted(begin, starts, "right") - 1
         at = starts - begin[of] + np.array([h[2] for h in held])[of]
-        new = np.append(True, (of[1:] != of[:-1]) | (at[1:] != at[:-1] + 1))[: len(at)]
-        cut = np.flatnonzero(new)
-        last = np.append(cut[1:], len(at)) - 1
-        own = of[cut]
-        return pa.RecordBatch.from_arrays([pa.array([held[i][0] for i in own], pa.int64()), pa.array([held[i][1] for i in own], pa.int64()), pa.array(at[cut], pa.int32()), pa.array(at[last] + length if len(at) else [], pa.int32())], ["key", "context", "s", "e"])
+        part = ~np.array([h[4] for h in held])[of]  # contexts that repeat as wholes need no spans
+        of, at = of[part], at[part]
+        cut = np.flatnonzero(np.append(True, (of[1:] != of[:-1]) | (at[1:] != at[:-1] + 1))[: len(at)])
+        last = np.append(cut[1:], len(at))[: len(cut)] - 1
+        first = np.flatnonzero(np.append(True, of[cut][1:] != of[cut][:-1])[: len(cut)])
+        own = of[cut][first]
+        each = pa.StructArray.from_arrays([pa.array(at[cut], pa.int32()), pa.array(at[last] + length, pa.int32())], ["s", "e"])
+        spans = pa.ListArray.from_arrays(pa.array(np.append(first, len(cut)), pa.int32()), each)
+        return pa.RecordBatch.from_arrays([pa.array([held[i][0] for i in own], pa.int64()), pa.array([held[i][1] for i in own], pa.int64()), spans], ["key", "context", "spans"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
         size, group = 0, None
         for batch in batches:
-            for g, *row in zip(*(batch.column(c).to_pylist() for c in ("grp", "key", "context", "at", "body")), strict=True):
+            for g, *row in zip(*(batch.column(c).to_pylist() for c in ("grp", "key", "context", "at", "body", "full")), strict=True):
                 if g != group and size >= SLAB:
                     yield spans(held)
                     held, size = [], 0
@@ -174,9 +178,9 @@ def cut_out(length: int):
                         for i in range(len(own) - length + 1):
                             part = own[i : i + length]
                             grp = int.from_bytes(hashlib.blake2b(part, digest_size=8).digest(), "little", signed=True)
-                            out.append((grp, w["key"], w["context"], i, part))
+                            out.append((grp, w["key"], w["context"], i, part, w["full"]))
                     else:
-                        out.append((w["key"], w["key"], w["context"], 0, own))
+                        out.append((w["key"], w["key"], w["context"], 0, own, w["full"]))
                     size += len(out[-1][4]) * (len(own) - length + 1 if w["hot"] else 1)
                 if size > 1 << 22:
                     yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], names)
@@ -184,7 +188,7 @@ def cut_out(length: int):
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], names)
 
-    names, kinds = ["grp", "key", "context", "at", "body"], [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary()]
+    names, kinds = ["grp", "key", "context", "at", "body", "full"], [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.bool_()]
     return run
 
 
@@ -217,12 +221,13 @@ def remove_repeats(documents: DataFrame, length: int = LENGTH, gram: int = GRAM)
     places = stash(found.join(again, "key"), "places")
     contexts = stash(places.groupBy("key", "context").agg(F.count("*").alias("c"), F.min(F.struct("uid", "lo", "hi")).alias("one")), "contexts")
     several = contexts.groupBy("key").agg(F.count("*").alias("kinds")).where("kinds > 1")
-    wanted = contexts.join(several, "key").select("one.uid", F.struct("key", "context", "one.lo", "one.hi", (F.col("kinds") > HOT).alias("hot")).alias("w"))
-    bodies = docs.join(wanted.groupBy("uid").agg(F.collect_list("w").alias("wanted")), "uid").select("text", "wanted").mapInArrow(cut_out(length), "grp bigint, key bigint, context bigint, at int, body binary")
+    wanted = contexts.join(several, "key").select("one.uid", F.struct("key", "context", "one.lo", "one.hi", (F.col("kinds") > HOT).alias("hot"), (F.col("c") > 1).alias("full")).alias("w"))
+    bodies = docs.join(wanted.groupBy("uid").agg(F.collect_list("w").alias("wanted")), "uid").select("text", "wanted").mapInArrow(cut_out(length), "grp bigint, key bigint, context bigint, at int, body binary, full boolean")
     parts = int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    partial = bodies.repartition(parts, "grp").sortWithinPartitions("grp").mapInArrow(sorted_out(length), "key bigint, context bigint, s int, e int")
-    whole = contexts.where("c > 1").select("key", "context", F.lit(0).alias("s"), (F.col("one.hi") - F.col("one.lo") + length).alias("e"))
-    spans = stash(whole.unionByName(partial.join(whole, ["key", "context"], "left_anti")), "spans")
-    by_doc = places.join(spans, ["key", "context"]).groupBy("uid").agg(F.collect_set(F.struct((F.col("lo") + F.col("s")).alias("s"), (F.col("lo") + F.col("e")).alias("e"))).alias("spans"))
+    partial = bodies.repartition(parts, "grp").sortWithinPartitions("grp").mapInArrow(sorted_out(length), "key bigint, context bigint, spans array<struct<s: int, e: int>>")
+    whole = contexts.where("c > 1").select("key", "context", F.array(F.struct(F.lit(0).alias("s"), (F.col("one.hi") - F.col("one.lo") + length).alias("e"))).alias("spans"))
+    spans = stash(whole.unionByName(partial), "spans")
+    moved = F.transform("spans", lambda x: F.struct((F.col("lo") + x["s"]).alias("s"), (F.col("lo") + x["e"]).alias("e")))
+    by_doc = places.join(spans, ["key", "context"]).groupBy("uid").agg(F.flatten(F.collect_list(moved)).alias("spans"))
     kind = documents.schema["doc_id"].dataType.simpleString()
     return docs.join(by_doc, "uid", "left").select("doc_id", "text", "spans").mapInArrow(removed, f"doc_id {kind}, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, kept binary")
