@@ -5,8 +5,9 @@ upper bits are the logarithm of the frequency, over all lines, of the token's bu
 equal sets form a class. A class is indexed under its prefix, the size - ceil(size * percent / 100) + 1 rarest tokens, and
 classes that share a prefix token are compared if their sizes allow it (length), if enough tokens remain from the shared
 one onwards (position), and if their parity bitmaps differ in no more bits than similar sets can differ in tokens; what is
-left is verified on full sets. First each class meets the HUBS earliest of each token's list, so that a group of n variants
-of one line gives about n candidates; only classes without an earlier match then meet whole lists.
+left is verified on full sets. In a token's list of more than SHORT classes each class first meets the HUBS earliest ones
+only, so that a group of n variants of one line gives about n candidates; classes without an earlier match then meet their
+long lists whole.
 
 A line goes if an earlier line (by doc_id, then line number) has a similar set, whether or not that one goes as well.
 
@@ -21,8 +22,7 @@ from pyspark.sql import functions as F
 
 from terrazzo.llm.common import stash
 
-BUCKETS, HUBS = 1 << 14, 4
-LOW = (1 << 57) - 1
+BUCKETS, HUBS, SHORT = 1 << 14, 2, 16
 
 
 def numbered(documents: DataFrame) -> DataFrame:
@@ -32,29 +32,30 @@ def numbered(documents: DataFrame) -> DataFrame:
 
 
 def split_tokens(line: Column) -> Column:
-    return F.filter(F.split(F.lower(line), r"\s+", -1), lambda t: t != "")
+    """Lower-cased pieces between white space; empty ones too. A split at one blank needs no regular expression."""
+    odd = F.contains(line, F.lit("\t")) | F.contains(line, F.lit("\r")) | F.contains(line, F.lit("\f")) | F.contains(line, F.lit("\v"))
+    return F.split(F.lower(F.when(odd, F.translate(line, "\t\r\f\v", "    ")).otherwise(line)), " ", -1)
 
 
 def rarity(lines: DataFrame) -> Column:
-    """The table of frequency classes, as a literal of BUCKETS small numbers."""
-    token = lines.select(F.explode(F.split(F.lower("line"), r"\s+", -1)).alias("t")).where("t <> ''")
-    counts = token.groupBy(F.xxhash64("t").bitwiseAND(F.lit(BUCKETS - 1)).cast("int").alias("b")).agg(F.count("*").alias("c")).collect()  # BUCKETS rows at most
+    """The table of frequency classes (in a code's upper bits), as a literal of BUCKETS numbers."""
+    token = lines.select(F.explode(split_tokens(F.col("line"))).alias("t")).where("t <> ''")
+    counts = token.groupBy(F.xxhash64("t").bitwiseAND(F.lit(BUCKETS - 1)).alias("b")).agg(F.count("*").alias("c")).collect()  # BUCKETS rows at most
     classes = [0] * BUCKETS
     for r in counts:
-        classes[r.b] = min(63, 2 * r.c.bit_length())
-    return F.split(F.lit(",".join(map(str, classes))), ",").cast("array<int>")
+        classes[r.b] = min(63, 2 * r.c.bit_length()) << 57
+    return F.split(F.lit(",".join(map(str, classes))), ",").cast("array<bigint>")
 
 
 def token_set(line: Column, table: Column) -> Column:
-    def code(t: Column) -> Column:
-        h = F.xxhash64(t)
-        return F.shiftleft(F.get(table, h.bitwiseAND(F.lit(BUCKETS - 1)).cast("int")).cast("long"), 57).bitwiseOR(h.bitwiseAND(F.lit(LOW)))
-
-    return F.sort_array(F.array_distinct(F.transform(split_tokens(line), code)))
+    """Codes of the distinct tokens, rarest first."""
+    hashes = F.array_distinct(F.transform(F.array_remove(split_tokens(line), ""), lambda t: F.xxhash64(t)))
+    return F.sort_array(F.transform(hashes, lambda h: F.get(table, h.bitwiseAND(F.lit(BUCKETS - 1)).cast("int")).bitwiseOR(F.shiftrightunsigned(h, 7))))
 
 
 def parity(tokens: Column) -> Column:
-    return F.aggregate(tokens, F.lit(0).cast("long"), lambda acc, t: acc.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftright(t, 20).bitwiseAND(F.lit(63)).cast("int"))))
+    """64 bits, one of which each token flips."""
+    return F.aggregate(tokens, F.lit(0).cast("long"), lambda acc, t: acc.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), t.bitwiseAND(F.lit(63)).cast("int"))))
 
 
 def similar_lines(documents: DataFrame, percent: int = 80) -> DataFrame:
@@ -77,8 +78,8 @@ def similar_lines(documents: DataFrame, percent: int = 80) -> DataFrame:
         differ = F.bit_count(c(x, "bits").bitwiseXOR(c(y, "bits")))
         return (c(x, "tok") == c(y, "tok")) & (c(x, "k") != c(y, "k")) & (c(y, "o") <= c(x, "o")) & sized & (bound * (100 + percent) >= percent * both) & (differ * (100 + percent) <= both * (100 - percent))
 
-    earliest = Window.partitionBy("tok").orderBy("o", "k")
-    hubs = postings.withColumn("rank", F.row_number().over(earliest)).where(F.col("rank") <= HUBS)
+    of_token = Window.partitionBy("tok")
+    lists = postings.withColumn("rank", F.row_number().over(of_token.orderBy("o", "k"))).withColumn("listed", F.count("*").over(of_token))
 
     def verified(pairs: DataFrame) -> DataFrame:
         """later: classes of x that have an earlier similar class, among the pairs kx, ky."""
@@ -96,17 +97,18 @@ def similar_lines(documents: DataFrame, percent: int = 80) -> DataFrame:
         ahead = F.struct(*(F.col(f"{c}y") for c in ("doc_id", "uid", "n"))) < F.struct(*(F.col(f"{c}x") for c in ("doc_id", "uid", "n")))
         return wide.where(alike & ahead).select(F.col("kx").alias("k")).distinct()
 
-    near = verified(postings.alias("x").join(hubs.alias("y"), meets("x", "y")).select(F.col("x.k").alias("kx"), F.col("y.k").alias("ky")))
-    near = stash(near, "line-matched")
-    rest = postings.join(near, "k", "left_anti").alias("x").join(postings.alias("y"), meets("x", "y")).select(F.col("x.k").alias("kx"), F.col("y.k").alias("ky"))
-    late = verified(rest)
+    hubs = lists.where((F.col("listed") <= SHORT) | (F.col("rank") <= HUBS))
+    near = stash(verified(lists.where("listed > 1").alias("x").join(hubs.where("listed > 1").alias("y"), meets("x", "y")).select(F.col("x.k").alias("kx"), F.col("y.k").alias("ky"))), "line-matched")
+    long = lists.where(F.col("listed") > SHORT).drop("rank", "listed")
+    rest = long.join(near, "k", "left_anti").alias("x").join(long.alias("y"), meets("x", "y")).select(F.col("x.k").alias("kx"), F.col("y.k").alias("ky"))
+    late = stash(verified(rest), "line-matched")
     matched = near.unionByName(late).distinct().withColumn("matched", F.lit(True))
     return classes.join(matched, "k", "left").select("k", "size", "uid", "doc_id", "n", F.coalesce("matched", F.lit(False)).alias("matched"))
 
 
 def dedup_lines(documents: DataFrame, percent: int = 80) -> DataFrame:
     """All columns of documents, with `text` of the remaining lines, and n_lines, n_removed."""
-    kept = similar_lines(documents, percent).where("not matched").groupBy("uid").agg(F.collect_list("n").alias("own"))
+    kept = stash(similar_lines(documents, percent).where("not matched").groupBy("uid").agg(F.collect_list("n").alias("own")), "line-kept")
     plain = documents.drop("n_lines", "n_removed", "own", "uid").withColumn("uid", F.xxhash64("doc_id", "text"))
     lines = plain.join(kept, "uid", "left").withColumn("lines", F.split(F.coalesce("text", F.lit("")), "\n", -1))
     every = F.sequence(F.lit(0), F.size("lines") - 1)
