@@ -8,7 +8,8 @@ items whose cosine reaches COSINE are candidates. A candidate is a leak if the i
 words around the passage covers SHARE of the item, which a paraphrase that keeps the order still does, and if the answer
 (the quarter of the item's words that are rarest) is there by at least half.
 
-The benchmark travels to every task; LARGEST bounds it, and a larger one is refused.
+A benchmark travels to every task in rounds of at most LARGEST items, each with its own latent space and its own pass over
+the documents; what they find is united. Weights, answers and the words around a passage do not depend on the rounds.
 
 Defined results: a null text, or one without words, has no leak; benchmark items that are null or have no words are
 ignored; repeated rows give repeated rows; extra columns are ignored; without benchmark items nothing leaks.
@@ -17,17 +18,19 @@ ignored; repeated rows give repeated rows; extra columns are ignored; without be
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from terrazzo.llm.common import ASCII_LOWER, blocks, spaced, span_hashes, utf8, word_spans
+from terrazzo.llm.common import ASCII_LOWER, blocks, spaced, span_hashes, stash, utf8, word_spans
 
 BLOCK, RANK, WEIGHT, COSINE, SHARE, LARGEST = 32, 256, 10.0, 0.4, 0.6, 2_000
 TOKEN = np.zeros(256, bool)
 TOKEN[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = True
+WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
 
 def tokens(data: np.ndarray, offsets: np.ndarray, size: int = 1 << 19) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
@@ -130,13 +133,18 @@ def block_sums(vectors: np.ndarray, of: np.ndarray, n: int) -> np.ndarray:
     return out
 
 
-def fit(documents: DataFrame, benchmark: DataFrame, rank: int = RANK) -> tuple[Items, np.ndarray] | None:
-    """The benchmark with its weights, and the latent space (a vector for each word); None without items."""
-    usable = benchmark.where("text is not null and item_id is not null").select("item_id", "text")
-    rows = usable.limit(LARGEST + 1).collect()
-    if len(rows) > LARGEST:
-        raise ValueError(f"more than {LARGEST} benchmark items")
-    items = Items(sorted((r.item_id, r.text) for r in rows))
+def rounds(usable: DataFrame) -> Iterator[list[tuple[int, str]]]:
+    """Distinct items by item_id and text, at most LARGEST at once."""
+    rest = usable
+    while rows := rest.orderBy("item_id", "text").limit(LARGEST).collect():
+        yield [(r.item_id, r.text) for r in rows]
+        last = rows[-1]
+        rest = usable.where((F.col("item_id") > last.item_id) | ((F.col("item_id") == last.item_id) & (F.col("text") > last.text)))
+
+
+def fit(documents: DataFrame, rows: list[tuple[int, str]], rank: int = RANK) -> tuple[Items, np.ndarray] | None:
+    """Items with their weights, and the latent space (a vector for each word); None without items."""
+    items = Items(rows)
     if not len(items.ids):
         return None
     n = len(items.vocabulary)
@@ -175,10 +183,10 @@ def fit(documents: DataFrame, benchmark: DataFrame, rank: int = RANK) -> tuple[I
     return items, space.astype(np.float32)
 
 
-def leaks(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """doc_id, item_ids array<bigint> (ascending, of all leaked items), best (the highest share of an item found)."""
-    fitted = fit(documents, benchmark)
+def search(documents: DataFrame, fitted: tuple[Items, np.ndarray] | None, room: int) -> DataFrame:
+    """All columns of documents but the text, item_ids and best, of one round's items."""
     shared = documents.sparkSession.sparkContext.broadcast(fitted)
+    keys = [c for c in documents.columns if c != "text"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if shared.value is not None:
@@ -186,7 +194,6 @@ def leaks(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
             latent = items.rows @ space
             latent = (latent / np.linalg.norm(latent, axis=1, keepdims=True).clip(1e-9)).astype(np.float32)
             words = (space * items.idf[:, None]).astype(np.float32)
-            room = max(map(len, items.words))
         for batch in batches:
             found: list[list[int]] = [[] for _ in range(batch.num_rows)]
             best = np.zeros(batch.num_rows)
@@ -210,10 +217,31 @@ def leaks(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
                     if share >= SHARE and 2 * len(items.answers[i].intersection(own.tolist())) >= len(items.answers[i]):
                         found[a + r].append(int(items.ids[i]))
                         best[a + r] = max(best[a + r], share)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([sorted(x) for x in found], pa.list_(pa.int64())), pa.array(best)], ["doc_id", "item_ids", "best"])
+            yield pa.RecordBatch.from_arrays([*map(batch.column, keys), pa.array([sorted(x) for x in found], pa.list_(pa.int64())), pa.array(best)], [*keys, "item_ids", "best"])
 
-    kind = documents.schema["doc_id"].dataType.simpleString()
-    return documents.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, item_ids array<bigint>, best double")
+    kinds = ", ".join(f"{c} {documents.schema[c].dataType.simpleString()}" for c in keys)
+    return documents.mapInArrow(run, f"{kinds}, item_ids array<bigint>, best double")
+
+
+def leaks(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """doc_id, item_ids array<bigint> (ascending, of all leaked items), best (the highest share of an item found)."""
+    usable = benchmark.where("text is not null and item_id is not null").select("item_id", "text").distinct()
+    room = usable.agg(F.max(F.regexp_count("text", F.lit(WORD)))).first()[0] or 0
+    own, earlier = documents.select("doc_id", "text"), []
+    keyed = own.withColumn("key", F.sha2("text", 256))  # what is found depends on the text alone
+    every = rounds(usable)
+    items, more = next(every, []), next(every, None)
+    while more:
+        found = search(keyed, fit(documents, items), room)
+        earlier.append(stash(found.where(F.size("item_ids") > 0).distinct(), "leaks"))
+        items, more = more, next(every, None)
+    if not earlier:
+        return search(own, fit(documents, items), room)
+    united = reduce(DataFrame.unionByName, earlier).groupBy("doc_id", "key").agg(F.flatten(F.collect_list("item_ids")).alias("before"), F.max("best").alias("highest")).alias("e")
+    last = search(keyed, fit(documents, items), room).alias("l")
+    both = last.join(united, F.col("l.doc_id").eqNullSafe(F.col("e.doc_id")) & (F.col("l.key") == F.col("e.key")), "left")
+    ids = F.when(F.col("before").isNull(), F.col("item_ids")).otherwise(F.sort_array(F.array_union("item_ids", "before")))
+    return both.select("l.doc_id", ids.alias("item_ids"), F.greatest("best", "highest").alias("best"))
 
 
 def decontaminate(documents: DataFrame, benchmark: DataFrame) -> DataFrame:

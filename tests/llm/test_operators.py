@@ -313,6 +313,17 @@ def test_decontamination(spark, docs):
     assert {r.doc_id for r in decontaminate.decontaminate(df, bench).collect()} == {2, 4, 5, 7}
 
 
+def test_decontamination_in_rounds(spark, monkeypatch):
+    """A benchmark beyond the reach of one broadcast: same rows as in one round, for repeated rows and ids too."""
+    items = [(i, prose(12 + i, 60 + i)) for i in range(7)] + [(7, None), (8, ""), (3, prose(20, 80)), (0, prose(12, 60))]
+    bench = spark.createDataFrame(items, "item_id bigint, text string")
+    rows = [(1, " ".join(x[1] for x in items[:7])), (1, "nothing"), (None, items[2][1]), (2, items[9][1]), (2, items[9][1]), (3, None), (4, prose(90, 81) + " " + items[6][1])]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    monkeypatch.setattr(decontaminate, "LARGEST", 3)
+    got = sorted(((r.doc_id, tuple(r.item_ids), r.best) for r in decontaminate.leaks(df, bench).collect()), key=str)
+    assert got == sorted([(1, (0, 1, 2, 3, 4, 5, 6), 1.0), (1, (), 0.0), (None, (2,), 1.0), (2, (3,), 1.0), (2, (3,), 1.0), (3, (), 0.0), (4, (6,), 1.0)], key=str)
+
+
 def test_decontamination_of_tables(spark):
     flat = lambda t: " " + " ".join(re.findall(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", t.lower())) + " "
     items = {r.item_id: flat(r.text) for r in table(spark, DATA, "benchmark").collect()}
