@@ -4,8 +4,9 @@ Texts become TF-IDF vectors over the benchmark's vocabulary; frequencies are cou
 words. A randomised range finder takes G = (A'A + W B'B) Q0 with one distributed pass over all document blocks A and the
 benchmark items B (weighted W, so that the space is spanned by what has to be retrieved), and the left singular vectors
 of G are the latent space. Each passage (two adjacent blocks) is projected as the sum of its words' latent vectors, and
-items whose cosine reaches COSINE are candidates. A candidate is a leak if the item's longest common subsequence with the
-words around the passage covers SHARE of the item, which a paraphrase that keeps the order still does, and if the answer
+items whose cosine reaches COSINE are candidates. So is an item of whose answer words (below) half stand within its own
+length, as the cosine of a short item depends on the words around it. A candidate is a leak if the item's longest common subsequence with the
+words around the passage (of the latter: within less than its length from those answer words) covers SHARE of the item, which a paraphrase that keeps the order still does, and if the answer
 (the quarter of the item's words that are rarest) is there by at least half.
 
 A benchmark travels to every task in rounds of at most LARGEST items, each with its own latent space and its own pass over
@@ -19,6 +20,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import reduce
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +29,8 @@ from pyspark.sql import functions as F
 
 from terrazzo.llm.common import ASCII_LOWER, blocks, spaced, span_hashes, stash, utf8, word_spans
 
-BLOCK, RANK, WEIGHT, COSINE, SHARE, LARGEST = 32, 256, 10.0, 0.4, 0.6, 2_000
+BLOCK, RANK, WEIGHT, COSINE, SHARE = 32, 256, 10.0, 0.4, 0.6
+LARGEST = RANK - 8  # items of a round; more than the space has dimensions for would blur each other
 TOKEN = np.zeros(256, bool)
 TOKEN[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = True
 WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
@@ -75,6 +78,11 @@ class Items:
         for w in self.words:
             own = np.unique(w)
             self.answers.append(set(own[np.argsort(-self.idf[own], kind="stable")][: max(1, len(own) // 4)].tolist()))
+        pairs = np.array([(w, k) for k, own in enumerate(self.answers) for w in own], int).reshape(-1, 2)
+        pairs = pairs[np.argsort(pairs[:, 0], kind="stable")]
+        self.owners, self.owned = pairs[:, 1], np.searchsorted(pairs[:, 0], np.arange(n + 1))
+        self.sizes = np.array([len(w) for w in self.words], int)
+        self.half = np.array([-(-len(a) // 2) for a in self.answers], int)
 
     def common(self, item: int, region: np.ndarray) -> int:
         """Length of the longest common subsequence, bit-parallel."""
@@ -87,6 +95,24 @@ class Items:
                 v = (v + u | v - u) & ones
         return n - v.bit_count()
 
+    def near(self, number: np.ndarray, upto: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
+        """Row, item, start and end of all places where half of an item's answer words stand within its length."""
+        at = np.flatnonzero(number >= 0)
+        first, many = self.owned[number[at]], np.diff(self.owned)[number[at]]
+        at = np.repeat(at, many)
+        item = self.owners[np.repeat(first - np.cumsum(many) + many, many) + np.arange(len(at))]
+        order = np.argsort(item, kind="stable")
+        at, item = at[order], item[order]
+        row = np.searchsorted(upto, at, "right") - 1
+        end = np.arange(len(at)) + self.half[item] - 1
+        start = np.flatnonzero(end < len(at))
+        end = end[start]
+        met = (item[end] == item[start]) & (row[end] == row[start]) & (at[end] - at[start] < self.sizes[item[start]])
+        start, end = start[met], end[met]
+        size, row, item = self.sizes[item[start]], row[start], item[start]
+        lo, hi = np.maximum(upto[row], at[end] - size + 1), np.minimum(upto[row + 1], at[start] + size)
+        return zip(row.tolist(), item.tolist(), lo.tolist(), hi.tolist(), strict=True)
+
 
 def block_of(upto: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The block of each word (blocks never cross rows), and the first block of each row (and the end)."""
@@ -208,11 +234,11 @@ def search(documents: DataFrame, fitted: tuple[Items, np.ndarray] | None, room:
                 z /= np.sqrt(np.einsum("ij,ij->i", z, z)).clip(1e-9)[:, None]
                 passage, item = np.nonzero(z @ latent.T >= COSINE)
                 row = np.searchsorted(first, passage, "right") - 1
-                for p, i, r in zip(passage.tolist(), item.tolist(), row.tolist(), strict=True):
+                around = ((r, i, max(upto[r], at - room), min(upto[r + 1], at + 2 * BLOCK + room)) for p, i, r in zip(passage.tolist(), item.tolist(), row.tolist(), strict=True) for at in [upto[r] + (p - first[r]) * BLOCK])
+                for r, i, lo, hi in chain(around, items.near(number, upto)):
                     if items.ids[i] in found[a + r]:
                         continue
-                    at = upto[r] + (p - first[r]) * BLOCK
-                    own = number[max(upto[r], at - room) : min(upto[r + 1], at + 2 * BLOCK + room)]
+                    own = number[lo:hi]
                     share = items.common(i, own) / len(items.words[i])
                     if share >= SHARE and 2 * len(items.answers[i].intersection(own.tolist())) >= len(items.answers[i]):
                         found[a + r].append(int(items.ids[i]))

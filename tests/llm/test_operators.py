@@ -324,6 +324,30 @@ def test_decontamination_in_rounds(spark, monkeypatch):
     assert got == sorted([(1, (0, 1, 2, 3, 4, 5, 6), 1.0), (1, (), 0.0), (None, (2,), 1.0), (2, (3,), 1.0), (2, (3,), 1.0), (3, (), 0.0), (4, (6,), 1.0)], key=str)
 
 
+def test_decontamination_recall(spark):
+    """2,000 short items: every place where one stands word for word is found."""
+    r = random.Random(17)
+    bodies = [t.split() for _, t in texts(table(spark, DATA, "documents")) if len(t.split()) > 40]
+
+    def cut(n):
+        w = r.choice(bodies)
+        return w[(a := r.randrange(len(w) - n)) : a + n]
+
+    items = [cut(r.randint(5, 10)) for _ in range(2000)]
+    rows, planted = [], set()
+    for i in range(500):
+        k = r.randrange(2000)
+        planted.add((i, k))
+        rows.append((i, " ".join([*cut(35), *items[k], *cut(35)])))
+    flat = lambda t: " " + " ".join(re.findall(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), t))) + " "
+    short = [flat(" ".join(w)) for w in items]
+    want = {(i, k) for i, t in rows for k, b in enumerate(short) if b.strip() and b in flat(t)}
+    assert planted <= want
+    bench = spark.createDataFrame([(k, " ".join(w)) for k, w in enumerate(items)], "item_id bigint, text string")
+    got = {(x.doc_id, k) for x in decontaminate.leaks(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4), bench).collect() for k in x.item_ids}
+    assert want - got == set()
+
+
 def test_decontamination_of_tables(spark):
     flat = lambda t: " " + " ".join(re.findall(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", t.lower())) + " "
     items = {r.item_id: flat(r.text) for r in table(spark, DATA, "benchmark").collect()}
