@@ -103,3 +103,50 @@ def from_utm(east: Column, north: Column, zone: int, south: bool = True) -> list
     lat = p - (n * F.tan(p) / r) * (d * d / 2 - (5 + 3 * t + 10 * c1 - 4 * c1 * c1 - 9 * ep) * F.pow(d, 4) / 24 + (61 + 90 * t + 298 * c1 + 45 * t * t - 252 * ep - 3 * c1 * c1) * F.pow(d, 6) / 720)
     lon = (d - (1 + 2 * t + c1) * F.pow(d, 3) / 6 + (5 - 2 * c1 + 28 * t - 3 * c1 * c1 + 8 * ep + 24 * t * t) * F.pow(d, 5) / 120) / c
     return [(F.degrees(lon) + (6 * zone - 183)).alias("lon"), F.degrees(lat).alias("lat")]
+
+
+#: Source pixels along each axis that a kernel weighs.
+TAPS = {"nearest": 1, "bilinear": 2, "cubic": 4}
+
+
+def _weight(method: str, t: Column) -> Column:
+    """Of a pixel at distance t; cubic is Keys' kernel with a = -1/2."""
+    d = F.abs(t)
+    if method == "bilinear":
+        return 1 - d
+    if method == "cubic":
+        return F.when(d <= 1, (1.5 * d - 2.5) * d * d + 1).otherwise(((2.5 - 0.5 * d) * d - 4) * d + 2)
+    return F.lit(1.0)
+
+
+def reproject(pixels: DataFrame, bands: list[str], origin: tuple[float, float], step: float, zone: int, res: float, grid: tuple[float, float, int, int] | None = None, method: str = "cubic") -> DataFrame:
+    """col, row and the bands of one geographic raster (left and top in origin, step in degrees) on a grid of its UTM zone:
+    (left, top, width, height), by default the pixels' bounds snapped outwards to res; col and row count from the grid's
+    corner. Every cell is mapped back to the source and takes the weighted mean of its valid neighbours (0 in all bands is
+    no data), rounded to 0..65535. A cell is left out, as no data, if the pixel that holds its centre is missing or invalid."""
+    if method not in TAPS:
+        raise ValueError(f"unknown resampling {method}")
+    x0, y0 = origin
+    if grid is None:
+        near = F.explode(F.array(*(F.struct((F.col("x") + i).alias("px"), (F.col("y") + j).alias("py")) for i in (0, 1) for j in (0, 1)))).alias("c")
+        corners = pixels.select(near).select(*to_utm(x0 + F.col("c.px") * step, y0 - F.col("c.py") * step, zone))
+        b = corners.agg(F.min("easting").alias("l"), F.max("easting").alias("r"), F.min("northing").alias("b"), F.max("northing").alias("t")).first()
+        if b.l is None:
+            return pixels.select(F.lit(0).cast("long").alias("col"), F.lit(0).cast("long").alias("row"), *bands).where("false")
+        left, top = math.floor(b.l / res) * res, math.ceil(b.t / res) * res
+        grid = left, top, math.ceil((b.r - left) / res), math.ceil((top - b.b) / res)
+    left, top, width, height = grid
+    cells = pixels.sparkSession.range(width * height).select((F.col("id") % width).alias("col"), F.expr(f"id div {width}").alias("row"))
+    placed = cells.select("col", "row", *from_utm(left + (F.col("col") + 0.5) * res, top - (F.col("row") + 0.5) * res, zone))
+    at = placed.select("col", "row", ((F.col("lon") - x0) / step).alias("u"), ((y0 - F.col("lat")) / step).alias("v"))
+    taps = TAPS[method]
+
+    def around(c: str) -> Column:
+        first = F.floor(c) if taps == 1 else F.floor(F.col(c) - 0.5) - (taps // 2 - 1)
+        return F.explode(F.transform(F.sequence(first, first + taps - 1), lambda i: F.struct(i.alias("i"), _weight(method, F.col(c) - 0.5 - i).alias("w"), (i == F.floor(c)).alias("own"))))
+
+    wide = at.select("col", "row", "v", around("u").alias("a")).select("col", "row", "a", around("v").alias("b"))
+    taken = wide.select("col", "row", F.col("a.i").alias("x"), F.col("b.i").alias("y"), (F.col("a.w") * F.col("b.w")).alias("w"), (F.col("a.own") & F.col("b.own")).alias("own"))
+    valid = pixels.where(F.greatest(*bands, F.lit(0)) > 0).select("x", "y", *bands)
+    mean = lambda c: F.greatest(F.lit(0), F.least(F.lit(65535), F.rint(F.sum(F.col("w") * F.col(c)) / F.sum("w")))).cast("long").alias(c)
+    return taken.join(valid, ["x", "y"]).groupBy("col", "row").agg(F.max("own").alias("own"), *map(mean, bands)).where("own").drop("own")

@@ -99,11 +99,8 @@ def reproject_round_trip(spark: SparkSession, d: str) -> DataFrame:
 
 @query()
 def reproject_raster(spark: SparkSession, d: str) -> DataFrame:
-    """Pixels of scene 0, as if on a geographic grid, by their place on the map projection's 8 m grid (nearest)."""
-    p = px(spark, d).where("scene_id = 0").select("x", "y", "b1", (-40.0 + F.col("x") * 1e-4).alias("lon"), (-20.0 - F.col("y") * 1e-4).alias("lat"))
-    m = p.select("b1", "x", "y", *spatial.to_utm(F.col("lon"), F.col("lat"), 24))
-    cell = m.select(F.rint(F.col("easting") / 8).cast("long").alias("col"), F.rint(-F.col("northing") / 8).cast("long").alias("row"), F.struct("y", "x", "b1").alias("v"))
-    return cell.groupBy("col", "row").agg(F.min("v").alias("v")).select("col", "row", "v.b1")
+    """Scene 0, as if on a geographic grid, on the map projection's 8 m grid (cubic, every cell mapped back)."""
+    return spatial.reproject(px(spark, d).where("scene_id = 0"), ["b1", "b2", "b3"], (-40.0, -20.0), 1e-4, 24, 8.0)
 
 
 @query(with_views("select scene_id, x, y, b1 from px", "px"))

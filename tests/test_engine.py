@@ -86,6 +86,26 @@ def test_projection_round_trip_and_equator(spark):
     assert abs(central.easting - 500000) < 1e-6 and abs(central.northing - 10000000) < 1e-6
 
 
+def ramp(spark, n=12):
+    return spark.createDataFrame([(s, x, y, 100 + 40 * x + 7 * y, 900 - 20 * x) for s in (0, 1) for x in range(n) for y in range(n)], "scene_id bigint, x bigint, y bigint, b1 bigint, b2 bigint")
+
+
+@pytest.mark.parametrize("method", ["nearest", "bilinear", "cubic"])
+def test_reprojection_fills_its_grid(spark, method):
+    """A ramp stays a ramp in all bands, and no cell inside the footprint is missing."""
+    one = ramp(spark).where("scene_id = 0")
+    corner = spark.range(1).select(*spatial.to_utm(F.lit(-40.0 + 3e-4), F.lit(-20.0 - 3e-4), 24)).first()
+    grid = corner.easting, corner.northing, 7, 6
+    cells = spatial.reproject(one, ["b1", "b2"], (-40.0, -20.0), 1e-4, 24, 8.0, grid, method)
+    back = cells.select("*", *spatial.from_utm(grid[0] + (F.col("col") + 0.5) * 8, grid[1] - (F.col("row") + 0.5) * 8, 24)).collect()
+    assert sorted((r.col, r.row) for r in back) == [(c, r) for c in range(7) for r in range(6)]
+    for r in back:
+        u, v = (r.lon + 40) / 1e-4, (-20 - r.lat) / 1e-4
+        u, v = (np.floor(u), np.floor(v)) if method == "nearest" else (u - 0.5, v - 0.5)
+        assert abs(r.b1 - (100 + 40 * u + 7 * v)) <= 0.51 and abs(r.b2 - (900 - 20 * u)) <= 0.51
+    assert spatial.reproject(one, ["b1"], (-40.0, -20.0), 1e-4, 24, 8.0, None, method).count() > 1.3 * one.count()
+
+
 def test_overlap_tree_moves_scenes_together(spark):
     px = views.px(spark, DATA)
     out = radiometry.match_by_overlap(px, 0, [0, 1], least=300)
