@@ -150,3 +150,16 @@ def reproject(pixels: DataFrame, bands: list[str], origin: tuple[float, float],
     valid = pixels.where(F.greatest(*bands, F.lit(0)) > 0).select("x", "y", *bands)
     mean = lambda c: F.greatest(F.lit(0), F.least(F.lit(65535), F.rint(F.sum(F.col("w") * F.col(c)) / F.sum("w")))).cast("long").alias(c)
     return taken.join(valid, ["x", "y"]).groupBy("col", "row").agg(F.max("own").alias("own"), *map(mean, bands)).where("own").drop("own")
+
+
+def ensure_same_crs(pixels: DataFrame, bands: list[str], target: str, crs: dict[int, str], origin: tuple[float, float], step: float, zone: int, res: float) -> DataFrame:
+    """scene_id, x, y and bands: scenes in the target's system as they are, geographic ones (EPSG:4674) reprojected
+    bilinearly, each to its own default grid of the target's zone."""
+    if unknown := {c for c in crs.values() if c not in (target, "EPSG:4674")}:
+        raise ValueError(f"no projection from {sorted(unknown)}")
+    other = sorted(s for s, c in crs.items() if c != target)
+    out = pixels.where(~F.col("scene_id").isin(other)).select("scene_id", "x", "y", *bands)
+    for s in other:
+        moved = reproject(pixels.where(F.col("scene_id") == s), bands, origin, step, zone, res, method="bilinear")
+        out = out.unionByName(moved.select(F.lit(s).cast("long").alias("scene_id"), F.col("col").alias("x"), F.col("row").alias("y"), *bands))
+    return out

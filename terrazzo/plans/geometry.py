@@ -106,7 +106,7 @@ def reproject_raster(spark: SparkSession, d: str) -> DataFrame:
 @query(with_views("select scene_id, x, y, b1 from px", "px"))
 def ensure_same_crs(spark: SparkSession, d: str) -> DataFrame:
     """All scenes share the target's system: the plan is the scan itself."""
-    return px(spark, d).select("scene_id", "x", "y", "b1")
+    return spatial.ensure_same_crs(px(spark, d), ["b1"], "EPSG:31984", {}, (-40.0, -20.0), 1e-4, 24, 8.0)
 
 
 TILES = "select i as tile, (i // 7) * 160 as row_off, (i % 7) * 160 as col_off, least(160, 777 - (i // 7) * 160) as height, least(160, 1000 - (i % 7) * 160) as width from range(35) t(i)"

@@ -106,6 +106,17 @@ def test_reprojection_fills_its_grid(spark, method):
     assert spatial.reproject(one, ["b1"], (-40.0, -20.0), 1e-4, 24, 8.0, None, method).count() > 1.3 * one.count()
 
 
+def test_scenes_of_another_system_are_reprojected(spark):
+    both = ramp(spark)
+    args = ["b1", "b2"], "EPSG:31984", {0: "EPSG:31984", 1: "EPSG:4674"}, (-40.0, -20.0), 1e-4, 24, 8.0
+    out = spatial.ensure_same_crs(both, *args)
+    assert out.where("scene_id = 0").exceptAll(both.where("scene_id = 0")).isEmpty() and out.where("scene_id = 0").count() == 144
+    want = spatial.reproject(both.where("scene_id = 1"), ["b1", "b2"], (-40.0, -20.0), 1e-4, 24, 8.0, method="bilinear")
+    assert out.where("scene_id = 1").select("x", "y", "b1", "b2").exceptAll(want).isEmpty() and want.count() > 144
+    with pytest.raises(ValueError):
+        spatial.ensure_same_crs(both, args[0], args[1], {0: "EPSG:3857"}, *args[3:])
+
+
 def test_overlap_tree_moves_scenes_together(spark):
     px = views.px(spark, DATA)
     out = radiometry.match_by_overlap(px, 0, [0, 1], least=300)
