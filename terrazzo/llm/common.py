@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -12,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 U64 = np.uint64
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_LOCK, _WRITERS = threading.Lock(), {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,25 +22,60 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that the cluster names in spark.checkpoint.dir; a temporary one only where none is set (tests)."""
+    """A folder of this run in the one that the cluster names in spark.checkpoint.dir. Where none is named, a temporary one
+    serves a master that is local to this machine (tests); on a cluster that is an error."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise ValueError("spark.checkpoint.dir has to name a folder that the driver and all executors share")
         found = tempfile.mkdtemp(prefix="terrazzo-")
         spark.conf.set("spark.checkpoint.dir", found)
-    return found
+    return f"{found}/terrazzo-{spark.sparkContext.applicationId}"
+
+
+@contextmanager
+def shuffle_cleanup(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files go as soon as the table that replaces them is written; the setting returns with the last writer."""
+    with _LOCK:
+        if not _WRITERS:
+            _WRITERS["was"] = spark.conf.get(CLEANUP, "false")
+            spark.conf.set(CLEANUP, "true")
+        _WRITERS["n"] = _WRITERS.get("n", 0) + 1
+    try:
+        yield
+    finally:
+        with _LOCK:
+            _WRITERS["n"] -= 1
+            if not _WRITERS["n"]:
+                spark.conf.set(CLEANUP, _WRITERS["was"])
+                _WRITERS.clear()
 
 
 def stash(df: DataFrame, name: str) -> DataFrame:
     """Cuts lineage: df as a Parquet table in the shared folder, which outlives any executor."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    was = spark.conf.get(CLEANUP, "false")
-    spark.conf.set(CLEANUP, "true")  # the table replaces the shuffles that led to it
-    try:
+    with shuffle_cleanup(spark):
         df.write.option("compression", "zstd").parquet(path)
-    finally:
-        spark.conf.set(CLEANUP, was)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.stashed = path
+    return out
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def drop(*stashed: DataFrame) -> None:
+    """Deletes stashed tables that nothing reads any more."""
+    for df in stashed:
+        _delete(df.sparkSession, df.stashed)
+
+
+def clean(spark: SparkSession) -> None:
+    """Deletes all tables that this run has stashed, once its results are written."""
+    _delete(spark, shared_dir(spark))
 
 
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:

@@ -1,18 +1,22 @@
 """Line deduplication by an exact set-similarity join, in DataFrame functions only.
 
-A line's set holds its distinct lower-cased tokens (split at white space) as 64-bit codes, ordered by rarity: the code's
-upper bits are the logarithm of the frequency, over all lines, of the token's bucket (a table of 2**14 counts). Lines of
-equal sets form a class. A class is indexed under its prefix, the size - ceil(size * percent / 100) + 1 rarest tokens, and
-classes that share a prefix token are compared if their sizes allow it (length), if enough tokens remain from the shared
-one onwards (position), and if their parity bitmaps differ in no more bits than similar sets can differ in tokens; what is
-left is verified on full sets. In a token's list of more than SHORT classes each class first meets the HUBS earliest ones
-only, so that a group of n variants of one line gives about n candidates; classes without an earlier match then meet their
-long lists whole.
+Equal lines form a node, which stands at its earliest place. A node's set holds its distinct lower-cased tokens (split at
+white space) as 64-bit codes, ordered by rarity: a code's upper bits are the logarithm of the frequency, over the whole
+corpus, of the token's bucket (a table of BUCKETS counts, one byte each). A node is indexed under its prefix, the
+size - ceil(size * percent / 100) + 1 rarest tokens. Two nodes that share a prefix token are candidates if their sizes
+allow it (length), if enough tokens remain from the shared one onwards (position), and if their parity bitmaps differ in
+no more bits than similar sets can differ in tokens. In each token's list a node meets the HUBS earliest nodes; the
+candidate with the closest bitmap is verified on the lines themselves. A node whose closest candidate fails, or that has
+not met the whole of its lists, then meets all earlier nodes of its lists. So a group of n variants of one line costs about
+HUBS * n candidates, and nothing is missed.
 
 A line goes if an earlier line (by doc_id, then line number) has a similar set, whether or not that one goes as well.
 
-Defined results: a null text has one empty line; lines without tokens always stay; rows that repeat both doc_id and text
-count as one and get the same result; a null doc_id comes first; other columns pass through; an empty table gives no rows.
+Defined results: a null text has one empty line and stays null; lines without tokens always stay; equal lines are similar
+whatever their length, and a text or line of any length that fits a value is taken whole; of rows that repeat a doc_id, the
+earlier line number comes first; rows that repeat both doc_id and text count as one and get the same result; a null doc_id
+comes first; doc_id is of any type that can be ordered; other columns pass through whatever their names, but for n_lines
+and n_removed, which are replaced; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -20,15 +24,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from terrazzo.llm.common import stash
+from terrazzo.llm.common import drop, stash
 
-BUCKETS, HUBS, SHORT = 1 << 14, 2, 16
+BUCKETS, HUBS = 1 << 20, 16
+SPACE = " \t\r\f\v"
+NODE = ("h", "doc_id", "n")
+POINTER = (1 << 56) - 1
 
 
-def numbered(documents: DataFrame) -> DataFrame:
-    """uid, doc_id, n (from 0), line."""
-    uid = F.xxhash64("doc_id", "text").alias("uid")
-    return documents.select(uid, "doc_id", F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n", -1)).alias("n", "line"))
+def split_lines(text: Column) -> Column:
+    return F.split(F.coalesce(text, F.lit("")), "\n", -1)
 
 
 def split_tokens(line: Column) -> Column:
@@ -37,20 +42,26 @@ def split_tokens(line: Column) -> Column:
     return F.split(F.lower(F.when(odd, F.translate(line, "\t\r\f\v", "    ")).otherwise(line)), " ", -1)
 
 
-def rarity(lines: DataFrame) -> Column:
-    """The table of frequency classes (in a code's upper bits), as a literal of BUCKETS numbers."""
-    token = lines.select(F.explode(split_tokens(F.col("line"))).alias("t")).where("t <> ''")
-    counts = token.groupBy(F.xxhash64("t").bitwiseAND(F.lit(BUCKETS - 1)).alias("b")).agg(F.count("*").alias("c")).collect()  # BUCKETS rows at most
-    classes = [0] * BUCKETS
-    for r in counts:
-        classes[r.b] = min(63, 2 * r.c.bit_length()) << 57
-    return F.split(F.lit(",".join(map(str, classes))), ",").cast("array<bigint>")
+def is_blank(line: Column) -> Column:
+    return F.btrim(line, F.lit(SPACE)) == ""
 
 
-def token_set(line: Column, table: Column) -> Column:
+def rarity(documents: DataFrame) -> DataFrame:
+    """One row of one array: the frequency class (0 to 63, the logarithm to a base of the square root of 2) of each bucket."""
+    text = F.replace(F.coalesce("text", F.lit("")), F.lit("\n"), F.lit(" "))
+    token = documents.select(F.explode(split_tokens(text)).alias("t")).where("t <> ''")
+    counts = token.groupBy(F.xxhash64("t").bitwiseAND(F.lit(BUCKETS - 1)).alias("b")).agg(F.count("*").alias("c"))
+    level = F.least(F.lit(63), F.floor(2 * F.log2(F.coalesce("c", F.lit(1))))).cast("byte")
+    every = documents.sparkSession.range(BUCKETS).join(counts, F.col("id") == F.col("b"), "left")
+    row = F.sort_array(F.collect_list(F.struct(F.col("id").cast("int"), level.alias("level"))))
+    return stash(every.agg(row.alias("x")).select(F.transform("x", lambda e: e.level).alias("levels")), "line-rarity")
+
+
+def token_set(line: Column, levels: Column) -> Column:
     """Codes of the distinct tokens, rarest first."""
     hashes = F.array_distinct(F.transform(F.array_remove(split_tokens(line), ""), lambda t: F.xxhash64(t)))
-    return F.sort_array(F.transform(hashes, lambda h: F.get(table, h.bitwiseAND(F.lit(BUCKETS - 1)).cast("int")).bitwiseOR(F.shiftrightunsigned(h, 7))))
+    level = lambda h: F.coalesce(F.get(levels, h.bitwiseAND(F.lit(BUCKETS - 1)).cast("int")), F.lit(0).cast("byte"))
+    return F.sort_array(F.transform(hashes, lambda h: F.shiftleft(level(h).cast("long"), 57).bitwiseOR(F.shiftrightunsigned(h, 7))))
 
 
 def parity(tokens: Column) -> Column:
@@ -58,64 +69,101 @@ def parity(tokens: Column) -> Column:
     return F.aggregate(tokens, F.lit(0).cast("long"), lambda acc, t: acc.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), t.bitwiseAND(F.lit(63)).cast("int"))))
 
 
-def similar_lines(documents: DataFrame, percent: int = 80) -> DataFrame:
-    """Classes of lines: k, size, uid, doc_id, n (of the earliest line), matched (whether an earlier class is similar)."""
-    lines = numbered(documents)
-    table = rarity(lines)
-    sets = lines.withColumn("toks", token_set(F.col("line"), table)).where(F.size("toks") > 0)
+def line_nodes(documents: DataFrame, levels: DataFrame, percent: int) -> DataFrame:
+    """h, doc_id, n (its earliest place), row (a hash of the text there), line, size, bits, prefix: a row for each distinct
+    line that has tokens."""
+    lines = documents.select("doc_id", F.xxhash64("text").alias("row"), F.posexplode(split_lines(F.col("text"))).alias("n", "line")).where(~is_blank(F.col("line")))
+    first = F.min(F.struct("doc_id", "n", "row")).alias("first")
+    distinct = lines.groupBy(F.xxhash64("line").alias("h"), F.xxhash64(F.lit(1), "line").alias("h2")).agg(first, F.first("line").alias("line"))
+    # the table is a scalar sub-query: each task holds it once, and no row carries it
+    sets = distinct.select("h", "first.*", "line").withColumn("levels", levels.scalar()).withColumn("toks", token_set(F.col("line"), F.col("levels"))).drop("levels")
     size = F.size("toks")
     prefix = F.slice("toks", F.lit(1), size - F.floor((size * percent + 99) / 100).cast("int") + 1)
-    row = F.struct("doc_id", "uid", "n", size.alias("size"), parity(F.col("toks")).alias("bits"), prefix.alias("prefix"))
-    classes = stash(sets.select(F.xxhash64("toks").alias("k"), row.alias("r")).groupBy("k").agg(F.min("r").alias("r")).select("k", "r.*"), "line-classes")
-
-    postings = classes.select("k", F.coalesce("doc_id", F.lit(-(2**63))).alias("o"), "size", "bits", F.posexplode("prefix").alias("pos", "tok"))
-
-    def meets(x: str, y: str) -> Column:
-        c = lambda side, name: F.col(f"{side}.{name}")
-        both = c(x, "size") + c(y, "size")
-        bound = F.least(c(x, "pos"), c(y, "pos")) + F.least(c(x, "size") - c(x, "pos"), c(y, "size") - c(y, "pos"))
-        sized = 100 * F.least(c(x, "size"), c(y, "size")) >= percent * F.greatest(c(x, "size"), c(y, "size"))
-        differ = F.bit_count(c(x, "bits").bitwiseXOR(c(y, "bits")))
-        return (c(x, "tok") == c(y, "tok")) & (c(x, "k") != c(y, "k")) & (c(y, "o") <= c(x, "o")) & sized & (bound * (100 + percent) >= percent * both) & (differ * (100 + percent) <= both * (100 - percent))
-
-    of_token = Window.partitionBy("tok")
-    lists = postings.withColumn("rank", F.row_number().over(of_token.orderBy("o", "k"))).withColumn("listed", F.count("*").over(of_token))
-
-    def verified(pairs: DataFrame) -> DataFrame:
-        """later: classes of x that have an earlier similar class, among the pairs kx, ky."""
-        pairs = stash(pairs.distinct(), "line-pairs")
-        needed = pairs.select(F.col("kx").alias("k")).unionByName(pairs.select(F.col("ky").alias("k"))).distinct()
-        place = classes.join(needed, "k", "left_semi").select("k", "doc_id", "uid", "n", "size")
-        wanted = place.groupBy("uid").agg(F.collect_list(F.struct("k", "doc_id", "n")).alias("wanted"))
-        texts = documents.select(F.xxhash64("doc_id", "text").alias("uid"), "text")
-        own = texts.join(wanted, "uid").select("uid", F.split(F.coalesce("text", F.lit("")), "\n", -1).alias("lines"), F.explode("wanted").alias("w"))
-        full = stash(own.select("w.k", "w.doc_id", "uid", "w.n", token_set(F.get("lines", F.col("w.n")), table).alias("toks")), "line-sets")
-        x, y = (full.select(*(F.col(c).alias(f"{c}{s}") for c in ("k", "doc_id", "uid", "n", "toks"))) for s in "xy")
-        wide = pairs.join(x, "kx").join(y, "ky")
-        common = F.size(F.array_intersect("toksx", "toksy"))
-        alike = 100 * common >= percent * (F.size("toksx") + F.size("toksy") - common)
-        ahead = F.struct(*(F.col(f"{c}y") for c in ("doc_id", "uid", "n"))) < F.struct(*(F.col(f"{c}x") for c in ("doc_id", "uid", "n")))
-        return wide.where(alike & ahead).select(F.col("kx").alias("k")).distinct()
-
-    hubs = lists.where((F.col("listed") <= SHORT) | (F.col("rank") <= HUBS))
-    near = stash(verified(lists.where("listed > 1").alias("x").join(hubs.where("listed > 1").alias("y"), meets("x", "y")).select(F.col("x.k").alias("kx"), F.col("y.k").alias("ky"))), "line-matched")
-    long = lists.where(F.col("listed") > SHORT).drop("rank", "listed")
-    rest = long.join(near, "k", "left_anti").alias("x").join(long.alias("y"), meets("x", "y")).select(F.col("x.k").alias("kx"), F.col("y.k").alias("ky"))
-    late = stash(verified(rest), "line-matched")
-    matched = near.unionByName(late).distinct().withColumn("matched", F.lit(True))
-    return classes.join(matched, "k", "left").select("k", "size", "uid", "doc_id", "n", F.coalesce("matched", F.lit(False)).alias("matched"))
+    return sets.select("h", "doc_id", "n", "row", "line", size.alias("size"), parity(F.col("toks")).alias("bits"), prefix.alias("prefix"))
+
+
+def postings(nodes: DataFrame) -> DataFrame:
+    return nodes.select(*NODE, "size", "bits", F.posexplode("prefix").alias("pos", "tok"))
+
+
+def earlier() -> Column:
+    place = lambda side: F.struct(*(F.col(f"{side}.{c}") for c in ("doc_id", "n", "h")))
+    return place("y") < place("x")
+
+
+def candidate(percent: int) -> Column:
+    """Whether y, earlier than x, can be similar to x if the token they share is the first they share."""
+    x, y = (lambda c, s=s: F.col(f"{s}.{c}") for s in "xy")
+    both = x("size") + y("size")
+    sized = 100 * F.least(x("size"), y("size")) >= percent * F.greatest(x("size"), y("size"))
+    placed = (100 + percent) * F.least(x("size") - x("pos"), y("size") - y("pos")) >= percent * both
+    return earlier() & sized & placed & (differ() * (100 + percent) <= both * (100 - percent))
+
+
+def differ() -> Column:
+    return F.bit_count(F.col("x.bits").bitwiseXOR(F.col("y.bits")))
+
+
+def verified(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """Of pairs (a node, and the pointer of an earlier one), the nodes that are similar to what the pointer leads to; a
+    pointer has 56 bits, so it may lead to other lines too, which are verified alike."""
+    texts = nodes.select(F.shiftrightunsigned("h", 8).alias("p"), *NODE, "line")
+    own = pairs.withColumn("p", F.shiftrightunsigned("h", 8)).alias("c").join(texts.alias("x"), (F.col("c.p") == F.col("x.p")) & (F.col("c.h") == F.col("x.h")) & F.col("c.doc_id").eqNullSafe(F.col("x.doc_id")) & (F.col("c.n") == F.col("x.n")))
+    own = own.select("x.h", "x.doc_id", "x.n", "x.line", "c.pointer")
+    wide = own.alias("x").join(texts.alias("y"), (F.col("x.pointer") == F.col("y.p")) & earlier())
+    tokens = lambda side: F.array_distinct(F.array_remove(split_tokens(F.col(f"{side}.line")), ""))
+    wide = wide.select("x.h", "x.doc_id", "x.n", tokens("x").alias("tx"), tokens("y").alias("ty"))
+    wide = wide.withColumn("common", F.size(F.array_intersect("tx", "ty")))
+    alike = 100 * F.col("common") >= percent * (F.size("tx") + F.size("ty") - F.col("common"))
+    return wide.where(alike).select(*NODE).distinct()
+
+
+def without(nodes: DataFrame, gone: DataFrame) -> DataFrame:
+    x, y = nodes.alias("x"), gone.alias("y")
+    return x.join(y, (F.col("x.h") == F.col("y.h")) & F.col("x.doc_id").eqNullSafe(F.col("y.doc_id")) & (F.col("x.n") == F.col("y.n")), "left_anti")
+
+
+def similar_nodes(nodes: DataFrame, percent: int) -> DataFrame:
+    """The nodes (h, doc_id, n) that have an earlier similar one; not a plan, but a table in the shared folder."""
+    listed = postings(nodes)
+    rank = F.row_number().over(Window.partitionBy("tok").orderBy("doc_id", "n", "h")).alias("rank")
+    hubs = listed.select("*", rank).where(F.floor((F.col("rank") - 1) / (HUBS + 1)) == 0)  # one more shows who has not met all
+    x, y = listed.alias("x"), hubs.alias("y")
+    meets = (F.col("y.rank") <= HUBS) & candidate(percent)
+    beyond = (F.col("y.rank") > HUBS) & earlier()
+    met = x.join(y, (F.col("x.tok") == F.col("y.tok")) & (meets | beyond))
+    pointer = F.when(F.col("y.rank") <= HUBS, F.shiftleft(differ().cast("long"), 56).bitwiseOR(F.shiftrightunsigned("y.h", 8)))
+    met = met.select(*(F.col(f"x.{c}") for c in NODE), pointer.alias("pointer"))
+    best = stash(met.groupBy(*NODE).agg(F.min("pointer").alias("least"), F.max("pointer").alias("most"), F.count(F.when(F.col("pointer").isNull(), 1)).alias("beyond")), "line-best")
+
+    closest = best.where("least is not null").select(*NODE, F.col("least").bitwiseAND(F.lit(POINTER)).alias("pointer"))
+    near = stash(verified(closest, nodes, percent), "line-near")
+    open_ones = without(best.where("beyond > 0 or least <> most").select(*NODE), near)
+    x = postings(without(nodes, without(nodes, open_ones))).alias("x")
+    rest = x.join(listed.alias("y"), (F.col("x.tok") == F.col("y.tok")) & candidate(percent))
+    rest = stash(rest.select(*(F.col(f"x.{c}") for c in NODE), F.shiftrightunsigned("y.h", 8).alias("pointer")).distinct(), "line-rest")
+    found = stash(near.unionByName(verified(rest, nodes, percent)), "line-similar")
+    drop(best, near, rest)
+    return found
 
 
 def dedup_lines(documents: DataFrame, percent: int = 80) -> DataFrame:
     """All columns of documents, with `text` of the remaining lines, and n_lines, n_removed."""
-    kept = stash(similar_lines(documents, percent).where("not matched").groupBy("uid").agg(F.collect_list("n").alias("own")), "line-kept")
-    plain = documents.drop("n_lines", "n_removed", "own", "uid").withColumn("uid", F.xxhash64("doc_id", "text"))
-    lines = plain.join(kept, "uid", "left").withColumn("lines", F.split(F.coalesce("text", F.lit("")), "\n", -1))
+    others = [F.col(f"`{c}`") for c in documents.columns if c not in ("text", "n_lines", "n_removed")]
+    own = documents.select("doc_id", "text")
+    levels = rarity(own)
+    nodes = stash(line_nodes(own, levels, percent), "line-nodes")
+    similar = similar_nodes(nodes, percent)
+    kept = stash(without(nodes.select(*NODE, "row"), similar).groupBy("doc_id", "row").agg(F.collect_list("n").alias("own")), "line-kept")
+    drop(levels, nodes, similar)
+
+    rows = documents.select(F.struct(*others, F.col("text")).alias("d"), F.xxhash64("text").alias("row")).alias("x")
+    rows = rows.join(kept.alias("y"), (F.col("x.row") == F.col("y.row")) & F.col("x.d.doc_id").eqNullSafe(F.col("y.doc_id")), "left").select("d", "own").withColumn("lines", split_lines(F.col("d.text")))
     every = F.sequence(F.lit(0), F.size("lines") - 1)
-    blank = F.filter(every, lambda i: F.regexp_like(F.get("lines", i), F.lit(r"^\s*$")))
+    blank = F.filter(every, lambda i: is_blank(F.get("lines", i)))
     stay = F.sort_array(F.array_union(F.array_intersect(every, F.coalesce("own", F.expr("cast(array() as array<int>)"))), blank))
-    lines = lines.withColumn("stay", stay)
-    text = F.when(F.col("text").isNotNull(), F.array_join(F.transform("stay", lambda i: F.get("lines", i)), "\n"))
-    others = [c for c in plain.columns if c not in ("uid", "text")]
-    done = lines.select(*others, text.alias("text"), F.size("lines").cast("long").alias("n_lines"), (F.size("lines") - F.size("stay")).cast("long").alias("n_removed"))
-    return done.select(*[c for c in plain.columns if c != "uid"], "n_lines", "n_removed")
+    rows = rows.withColumn("stay", stay)
+    text = F.when(F.col("d.text").isNotNull(), F.array_join(F.transform("stay", lambda i: F.get("lines", i)), "\n"))
+    sizes = F.size("lines").cast("long").alias("n_lines"), (F.size("lines") - F.size("stay")).cast("long").alias("n_removed")
+    named = [text.alias(c) if c == "text" else F.col("d").getField(c).alias(c) for c in documents.columns if c not in ("n_lines", "n_removed")]
+    return rows.select(*named, *sizes)
