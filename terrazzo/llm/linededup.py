@@ -1,22 +1,22 @@
 """Line deduplication by an exact set-similarity join, in DataFrame functions only.
 
-Equal lines form a node, which stands at its earliest place. A node's set holds its distinct lower-cased tokens (split at
-white space) as 64-bit codes, ordered by rarity: a code's upper bits are the logarithm of the frequency, over the whole
-corpus, of the token's bucket (a table of BUCKETS counts, one byte each). A node is indexed under its prefix, the
-size - ceil(size * percent / 100) + 1 rarest tokens. Two nodes that share a prefix token are candidates if their sizes
-allow it (length), if enough tokens remain from the shared one onwards (position), and if their parity bitmaps differ in
-no more bits than similar sets can differ in tokens. In each token's list a node meets the HUBS earliest nodes; the
-candidate with the closest bitmap is verified on the lines themselves. A node whose closest candidate fails, or that has
-not met the whole of its lists, then meets all earlier nodes of its lists. So a group of n variants of one line costs about
-HUBS * n candidates, and nothing is missed.
+A line's set holds its distinct lower-cased tokens (split at white space) as 64-bit codes, ordered by rarity: a code's upper
+bits are the logarithm of the frequency, over the whole corpus, of the token's bucket (a table of BUCKETS counts, one byte
+each). Lines of equal sets form a node (two 64-bit hashes of the set), which stands at its earliest place. A node is indexed
+under its prefix, the size - ceil(size * percent / 100) + 1 rarest tokens. Two nodes that share a prefix token are candidates
+if their sizes allow it (length), if enough tokens remain from the shared one onwards (position), and if their parity bitmaps
+differ in no more bits than similar sets can differ in tokens. In each token's list a node meets the HUBS nodes of the most
+lines (of a group of variants, those that most copies share); its candidate with the closest bitmap is verified on the lines
+themselves. A node whose closest candidate fails, or with a list of more than HUBS, then meets all earlier nodes of its
+lists. So a group of n variants of one line costs about HUBS * n candidates, and nothing is missed.
 
 A line goes if an earlier line (by doc_id, then line number) has a similar set, whether or not that one goes as well.
 
-Defined results: a null text has one empty line and stays null; lines without tokens always stay; equal lines are similar
-whatever their length, and a text or line of any length that fits a value is taken whole; of rows that repeat a doc_id, the
-earlier line number comes first; rows that repeat both doc_id and text count as one and get the same result; a null doc_id
-comes first; doc_id is of any type that can be ordered; other columns pass through whatever their names, but for n_lines
-and n_removed, which are replaced; an empty table gives no rows.
+Defined results: a null text has one empty line and stays null; lines without tokens always stay; a text or line of any
+length that fits a value is taken whole; of rows that repeat a doc_id, the earlier line number comes first; rows that repeat
+both doc_id and text count as one and get the same result; a null doc_id comes first; doc_id is of any type that can be
+ordered; other columns pass through whatever their names, but for n_lines and n_removed, which are replaced; an empty table
+gives no rows.
 """
 
 from __future__ import annotations
@@ -70,20 +70,32 @@ def parity(tokens: Column) -> Column:
 
 
 def line_nodes(documents: DataFrame, levels: DataFrame, percent: int) -> DataFrame:
-    """h, doc_id, n (its earliest place), row (a hash of the text there), line, size, bits, prefix: a row for each distinct
-    line that has tokens."""
+    """h, doc_id, n (its earliest place), row (a hash of the text there), lines (how many), size, bits, prefix: a row for each
+    distinct token set."""
     lines = documents.select("doc_id", F.xxhash64("text").alias("row"), F.posexplode(split_lines(F.col("text"))).alias("n", "line")).where(~is_blank(F.col("line")))
-    first = F.min(F.struct("doc_id", "n", "row")).alias("first")
-    distinct = lines.groupBy(F.xxhash64("line").alias("h"), F.xxhash64(F.lit(1), "line").alias("h2")).agg(first, F.first("line").alias("line"))
     # the table is a scalar sub-query: each task holds it once, and no row carries it
-    sets = distinct.select("h", "first.*", "line").withColumn("levels", levels.scalar()).withColumn("toks", token_set(F.col("line"), F.col("levels"))).drop("levels")
+    sets = lines.withColumn("levels", levels.scalar()).withColumn("toks", token_set(F.col("line"), F.col("levels"))).drop("levels", "line")
     size = F.size("toks")
     prefix = F.slice("toks", F.lit(1), size - F.floor((size * percent + 99) / 100).cast("int") + 1)
-    return sets.select("h", "doc_id", "n", "row", "line", size.alias("size"), parity(F.col("toks")).alias("bits"), prefix.alias("prefix"))
+    wide = sets.select(F.xxhash64("toks").alias("h"), F.xxhash64(F.lit(1), "toks").alias("h2"), F.struct("doc_id", "n", "row").alias("place"), F.struct(size.alias("size"), parity(F.col("toks")).alias("bits"), prefix.alias("prefix")).alias("set"))
+    nodes = wide.groupBy("h", "h2").agg(F.min("place").alias("place"), F.count("*").alias("lines"), F.first("set").alias("set"))
+    return nodes.select("h", "place.*", "lines", "set.*")
 
 
 def postings(nodes: DataFrame) -> DataFrame:
-    return nodes.select(*NODE, "size", "bits", F.posexplode("prefix").alias("pos", "tok"))
+    return nodes.select(*NODE, "lines", "size", "bits", F.posexplode("prefix").alias("pos", "tok"))
+
+
+def present(keys: DataFrame, column: str) -> DataFrame:
+    """One row of one array: for each of BUCKETS buckets, whether it holds a key."""
+    own = keys.select(F.col(column).bitwiseAND(F.lit(BUCKETS - 1)).alias("b")).distinct()
+    every = keys.sparkSession.range(BUCKETS).join(own, F.col("id") == F.col("b"), "left")
+    row = F.sort_array(F.collect_list(F.struct(F.col("id").cast("int"), F.col("b").isNotNull().alias("there"))))
+    return stash(every.agg(row.alias("x")).select(F.transform("x", lambda e: e.there).alias("there")), "line-present")
+
+
+def among(flags: DataFrame, column: str) -> Column:
+    return F.coalesce(F.get(flags.scalar(), F.col(column).bitwiseAND(F.lit(BUCKETS - 1)).cast("int")), F.lit(False))
 
 
 def earlier() -> Column:
@@ -104,18 +116,28 @@ def differ() -> Column:
     return F.bit_count(F.col("x.bits").bitwiseXOR(F.col("y.bits")))
 
 
-def verified(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
-    """Of pairs (a node, and the pointer of an earlier one), the nodes that are similar to what the pointer leads to; a
-    pointer has 56 bits, so it may lead to other lines too, which are verified alike."""
-    texts = nodes.select(F.shiftrightunsigned("h", 8).alias("p"), *NODE, "line")
-    own = pairs.withColumn("p", F.shiftrightunsigned("h", 8)).alias("c").join(texts.alias("x"), (F.col("c.p") == F.col("x.p")) & (F.col("c.h") == F.col("x.h")) & F.col("c.doc_id").eqNullSafe(F.col("x.doc_id")) & (F.col("c.n") == F.col("x.n")))
-    own = own.select("x.h", "x.doc_id", "x.n", "x.line", "c.pointer")
-    wide = own.alias("x").join(texts.alias("y"), (F.col("x.pointer") == F.col("y.p")) & earlier())
-    tokens = lambda side: F.array_distinct(F.array_remove(split_tokens(F.col(f"{side}.line")), ""))
-    wide = wide.select("x.h", "x.doc_id", "x.n", tokens("x").alias("tx"), tokens("y").alias("ty"))
-    wide = wide.withColumn("common", F.size(F.array_intersect("tx", "ty")))
+def verified(pairs: DataFrame, nodes: DataFrame, documents: DataFrame, percent: int) -> DataFrame:
+    """Of pairs (a node, and the pointer of an earlier one), the nodes that are similar to what the pointer leads to, as a
+    table. A pointer has 56 bits, so it may lead to other nodes too, which are verified alike."""
+    places = nodes.select(*NODE, "row", F.shiftrightunsigned("h", 8).alias("p"))
+    ends = pairs.select(F.shiftrightunsigned("h", 8).alias("p")).unionByName(pairs.select(F.col("pointer").alias("p"))).distinct()
+    needed = stash(places.join(ends, "p", "left_semi"), "line-needed")
+    flags = present(needed, "row")
+    wanted = needed.groupBy("doc_id", "row").agg(F.collect_list(F.struct("h", "n", "p")).alias("wanted")).alias("y")
+    texts = documents.select("doc_id", "text", F.xxhash64("text").alias("row")).where(among(flags, "row")).alias("x")
+    texts = texts.join(wanted, (F.col("x.row") == F.col("y.row")) & F.col("x.doc_id").eqNullSafe(F.col("y.doc_id")))
+    lines = texts.select("x.doc_id", split_lines(F.col("text")).alias("own"), F.explode("wanted").alias("w")).select("w.*", "doc_id", F.get("own", F.col("w.n")).alias("line"))
+    tokens = F.array_distinct(F.array_remove(split_tokens(F.col("line")), ""))
+    lines = stash(lines.select(*NODE, "p", tokens.alias("toks")), "line-sets")
+
+    c, x, y = pairs.withColumn("p", F.shiftrightunsigned("h", 8)).alias("c"), lines.alias("x"), lines.alias("y")
+    own = c.join(x, (F.col("c.p") == F.col("x.p")) & (F.col("c.h") == F.col("x.h")) & F.col("c.doc_id").eqNullSafe(F.col("x.doc_id")) & (F.col("c.n") == F.col("x.n")))
+    wide = own.select("x.*", "c.pointer").alias("x").join(y, (F.col("x.pointer") == F.col("y.p")) & earlier())
+    wide = wide.select("x.h", "x.doc_id", "x.n", F.col("x.toks").alias("tx"), F.col("y.toks").alias("ty")).withColumn("common", F.size(F.array_intersect("tx", "ty")))
     alike = 100 * F.col("common") >= percent * (F.size("tx") + F.size("ty") - F.col("common"))
-    return wide.where(alike).select(*NODE).distinct()
+    found = stash(wide.where(alike).select(*NODE).distinct(), "line-verified")
+    drop(needed, flags, lines)
+    return found
 
 
 def without(nodes: DataFrame, gone: DataFrame) -> DataFrame:
@@ -123,27 +145,27 @@ def without(nodes: DataFrame, gone: DataFrame) -> DataFrame:
     return x.join(y, (F.col("x.h") == F.col("y.h")) & F.col("x.doc_id").eqNullSafe(F.col("y.doc_id")) & (F.col("x.n") == F.col("y.n")), "left_anti")
 
 
-def similar_nodes(nodes: DataFrame, percent: int) -> DataFrame:
-    """The nodes (h, doc_id, n) that have an earlier similar one; not a plan, but a table in the shared folder."""
+def similar_nodes(nodes: DataFrame, documents: DataFrame, percent: int) -> DataFrame:
+    """The nodes (h, doc_id, n) that have an earlier similar one, as a table."""
     listed = postings(nodes)
-    rank = F.row_number().over(Window.partitionBy("tok").orderBy("doc_id", "n", "h")).alias("rank")
-    hubs = listed.select("*", rank).where(F.floor((F.col("rank") - 1) / (HUBS + 1)) == 0)  # one more shows who has not met all
-    x, y = listed.alias("x"), hubs.alias("y")
-    meets = (F.col("y.rank") <= HUBS) & candidate(percent)
-    beyond = (F.col("y.rank") > HUBS) & earlier()
-    met = x.join(y, (F.col("x.tok") == F.col("y.tok")) & (meets | beyond))
-    pointer = F.when(F.col("y.rank") <= HUBS, F.shiftleft(differ().cast("long"), 56).bitwiseOR(F.shiftrightunsigned("y.h", 8)))
+    rank = F.row_number().over(Window.partitionBy("tok").orderBy(F.desc("lines"), "doc_id", "n", "h")).alias("rank")
+    hubs = listed.select("*", rank).where(F.floor((F.col("rank") - 1) / (HUBS + 1)) == 0)  # one more shows a longer list
+    beyond = F.col("y.rank") > HUBS
+    met = listed.alias("x").join(hubs.alias("y"), (F.col("x.tok") == F.col("y.tok")) & (beyond | candidate(percent)))
+    pointer = F.when(~beyond, F.shiftleft(differ().cast("long"), 56).bitwiseOR(F.shiftrightunsigned("y.h", 8)))
     met = met.select(*(F.col(f"x.{c}") for c in NODE), pointer.alias("pointer"))
     best = stash(met.groupBy(*NODE).agg(F.min("pointer").alias("least"), F.max("pointer").alias("most"), F.count(F.when(F.col("pointer").isNull(), 1)).alias("beyond")), "line-best")
 
     closest = best.where("least is not null").select(*NODE, F.col("least").bitwiseAND(F.lit(POINTER)).alias("pointer"))
-    near = stash(verified(closest, nodes, percent), "line-near")
-    open_ones = without(best.where("beyond > 0 or least <> most").select(*NODE), near)
-    x = postings(without(nodes, without(nodes, open_ones))).alias("x")
-    rest = x.join(listed.alias("y"), (F.col("x.tok") == F.col("y.tok")) & candidate(percent))
+    near = verified(closest, nodes, documents, percent)
+    unsettled = stash(without(best.where("beyond > 0 or least <> most").select(*NODE), near), "line-unsettled")
+    x = stash(postings(without(nodes, without(nodes, unsettled))), "line-unsettled")
+    flags = present(x, "tok")
+    rest = x.alias("x").join(listed.where(among(flags, "tok")).alias("y"), (F.col("x.tok") == F.col("y.tok")) & candidate(percent))
     rest = stash(rest.select(*(F.col(f"x.{c}") for c in NODE), F.shiftrightunsigned("y.h", 8).alias("pointer")).distinct(), "line-rest")
-    found = stash(near.unionByName(verified(rest, nodes, percent)), "line-similar")
-    drop(best, near, rest)
+    late = verified(rest, nodes, documents, percent)
+    found = stash(near.unionByName(late), "line-similar")
+    drop(best, near, unsettled, x, flags, rest, late)
     return found
 
 
@@ -153,7 +175,7 @@ def dedup_lines(documents: DataFrame, percent: int = 80) -> DataFrame:
     own = documents.select("doc_id", "text")
     levels = rarity(own)
     nodes = stash(line_nodes(own, levels, percent), "line-nodes")
-    similar = similar_nodes(nodes, percent)
+    similar = similar_nodes(nodes, own, percent)
     kept = stash(without(nodes.select(*NODE, "row"), similar).groupBy("doc_id", "row").agg(F.collect_list("n").alias("own")), "line-kept")
     drop(levels, nodes, similar)
 
