@@ -1,19 +1,25 @@
 """Benchmark decontamination by latent semantic retrieval.
 
 Texts become TF-IDF vectors over the benchmark's vocabulary; frequencies are counted over all document blocks of BLOCK
-words. A randomised range finder takes G = (A'A + W B'B) Q0 with one distributed pass over all document blocks A and the
-benchmark items B (weighted W, so that the space is spanned by what has to be retrieved), and the left singular vectors
-of G are the latent space. Each passage (two adjacent blocks) is projected as the sum of its words' latent vectors, and
-items whose cosine reaches COSINE are candidates. So is an item of whose answer words (below) half stand within its own
-length, as the cosine of a short item depends on the words around it. A candidate is a leak if the item's longest common subsequence with the
-words around the passage (of the latter: within less than its length from those answer words) covers SHARE of the item, which a paraphrase that keeps the order still does, and if the answer
-(the quarter of the item's words that are rarest) is there by at least half.
+words. A randomised SVD in one distributed pass: with all document blocks A and the benchmark items B (weighted W, so that
+the space is spanned by what has to be retrieved) the range of M = A'A + W B'B is sketched as Y = M Q for random Q, M is
+projected to the small core Q'Y, and the SVD of Y times the inverse Cholesky factor of the core gives M's eigenvectors (the
+right singular vectors of the stacked passages) and eigenvalues (the Nystrom form of the randomised SVD). Each passage (two
+adjacent blocks) is projected as the sum of its words' latent vectors, and items whose cosine reaches COSINE are candidates.
+So is an item of whose answer words (below) half stand within its own length, as the cosine of a short item depends on the
+words around it. A candidate is a leak if the item's longest common subsequence with the words around the passage (of the
+latter: within less than its length from those answer words) covers SHARE of the item, which a paraphrase that keeps the
+order still does, and if the answer (the quarter of the item's words that are rarest) is there by at least a third.
 
 A benchmark travels to every task in rounds of at most LARGEST items, each with its own latent space and its own pass over
 the documents; what they find is united. Weights, answers and the words around a passage do not depend on the rounds.
 
-Defined results: a null text, or one without words, has no leak; benchmark items that are null or have no words are
-ignored; repeated rows give repeated rows; extra columns are ignored; without benchmark items nothing leaks.
+Sums over the words of a block split by frequency: the FREQUENT most frequent words of the vocabulary go through a dense
+count matrix, the others through their vectors one by one.
+
+Defined results: a null text, or one without words, has no leak; a text of any length is searched whole; of items of equal
+cosine all are candidates; benchmark items that are null or have no words are ignored; repeated rows give repeated rows;
+extra columns are ignored; without benchmark items nothing leaks; an empty documents table gives no rows.
 """
 
 from __future__ import annotations
@@ -27,9 +33,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from terrazzo.llm.common import ASCII_LOWER, blocks, spaced, span_hashes, stash, utf8, word_spans
+from terrazzo.llm.common import ASCII_LOWER, U64, blocks, spaced, span_hashes, stash, utf8, word_spans
 
-BLOCK, RANK, WEIGHT, COSINE, SHARE = 32, 256, 10.0, 0.4, 0.6
+BLOCK, RANK, WEIGHT, COSINE, SHARE, FREQUENT, PIECE = 32, 256, 10.0, 0.4, 0.6, 64, 1 << 16
 LARGEST = RANK - 8  # items of a round; more than the space has dimensions for would blur each other
 TOKEN = np.zeros(256, bool)
 TOKEN[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = True
@@ -57,6 +63,10 @@ class Items:
         self.ids = np.array([rows[k][0] for k in full], np.int64)
         self.vocabulary = np.unique(np.concatenate([np.zeros(0, np.uint64), *(words[k] for k in full)]))
         self.words = [np.searchsorted(self.vocabulary, words[k]) for k in full]
+        n = len(self.vocabulary)
+        slot = (self.vocabulary & U64((1 << max(10, (16 * n).bit_length())) - 1)).astype(np.int64)
+        self.slots = np.full(1 << max(10, (16 * n).bit_length()), -1, np.int32)  # the word of each slot; -2 if it has several
+        self.slots[slot] = np.where(np.bincount(slot, minlength=len(self.slots))[slot] == 1, np.arange(n), -2)
         self.masks: list[dict[int, int]] = []
         for w in self.words:
             mask: dict[int, int] = {}
@@ -66,13 +76,17 @@ class Items:
 
     def number(self, hashes: np.ndarray) -> np.ndarray:
         """Vocabulary numbers; -1 for other words."""
-        n = len(self.vocabulary)
-        at = np.minimum(np.searchsorted(self.vocabulary, hashes), n - 1)
-        return np.where(self.vocabulary[at] == hashes, at, -1)
+        out = self.slots[(hashes & U64(len(self.slots) - 1)).astype(np.int64)]
+        several = np.flatnonzero(out == -2)
+        out[several] = np.minimum(np.searchsorted(self.vocabulary, hashes[several]), len(self.vocabulary) - 1)
+        return np.where((out >= 0) & (self.vocabulary[out] == hashes), out, -1)
 
     def weigh(self, frequency: np.ndarray, total: int) -> None:
         self.idf = np.log((1.0 + total) / (1.0 + frequency))
         n = len(self.vocabulary)
+        self.frequent = np.argsort(-frequency, kind="stable")[:FREQUENT]
+        self.column = np.full(n, -1)
+        self.column[self.frequent] = np.arange(len(self.frequent))
         self.rows = np.stack([np.bincount(w, minlength=n) * self.idf for w in self.words])
         self.answers = []
         for w in self.words:
@@ -84,6 +98,20 @@ class Items:
         self.sizes = np.array([len(w) for w in self.words], int)
         self.half = np.array([-(-len(a) // 2) for a in self.answers], int)
 
+    def block_sums(self, vectors: np.ndarray, number: np.ndarray, of: np.ndarray, n: int) -> tuple[np.ndarray, ...]:
+        """Sums of the words' vectors by ascending block number; the counts of frequent words, and which words are others."""
+        column = self.column[number]
+        often = column >= 0
+        width = len(self.frequent)
+        counts = np.bincount(of[often] * width + column[often], minlength=n * width).reshape(n, width).astype(np.float32)
+        out = counts @ vectors[self.frequent]
+        other = np.flatnonzero(~often)
+        if len(other):
+            own = of[other]
+            starts = np.flatnonzero(np.append(True, own[1:] != own[:-1]))
+            out[own[starts]] += np.add.reduceat(vectors[number[other]], starts, axis=0)
+        return out, counts, other
+
     def common(self, item: int, region: np.ndarray) -> int:
         """Length of the longest common subsequence, bit-parallel."""
         n, mask = len(self.words[item]), self.masks[item]
@@ -123,23 +151,31 @@ def block_of(upto: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _summed(documents: DataFrame, part, size: int) -> np.ndarray:
-    """The sum over all partitions of the float64 vectors that part yields; added up in a few tasks before the driver."""
+    """The sum over all partitions of the float64 vectors that part yields; pieces of PIECE values are added up apart."""
 
     def one(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(size)
         for batch in batches:
             part(total, *utf8(batch.column("text")))
-        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], ["x"])
+        for k in range(0, size, PIECE):
+            yield pa.RecordBatch.from_arrays([pa.array([k // PIECE], pa.int32()), pa.array([total[k : k + PIECE].tobytes()], pa.binary())], ["k", "x"])
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(size)
+        sums: dict[int, np.ndarray] = {}
         for batch in batches:
-            for x in batch.column("x"):
-                total += np.frombuffer(x.as_py())
-        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], ["x"])
-
-    few = documents.select("text").mapInArrow(one, "x binary").repartition(8).mapInArrow(add, "x binary")
-    return sum((np.frombuffer(r.x) for r in few.toLocalIterator()), np.zeros(size))
+            for k, x in zip(batch.column("k").to_pylist(), batch.column("x"), strict=True):
+                own = np.frombuffer(x.as_buffer())
+                if k in sums:
+                    sums[k] += own
+                else:
+                    sums[k] = own.copy()
+        yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array([x.tobytes() for x in sums.values()], pa.binary())], ["k", "x"])
+
+    dealt = documents.select("text").mapInArrow(one, "k int, x binary").repartition(-(-size // PIECE), "k").mapInArrow(add, "k int, x binary")
+    out = np.zeros(size)
+    for r in dealt.toLocalIterator():
+        out[r.k * PIECE : (r.k + 1) * PIECE] += np.frombuffer(r.x)
+    return out
 
 
 def weighted(items: Items, hashes: np.ndarray, upto: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -150,15 +186,6 @@ def weighted(items: Items, hashes: np.ndarray, upto: np.ndarray) -> tuple[np.nda
     return number[known], of[known], first
 
 
-def block_sums(vectors: np.ndarray, of: np.ndarray, n: int) -> np.ndarray:
-    """Sums of consecutive rows by ascending block number."""
-    out = np.zeros((n, vectors.shape[1]), vectors.dtype)
-    if len(of):
-        starts = np.flatnonzero(np.append(True, of[1:] != of[:-1]))
-        out[of[starts]] = np.add.reduceat(vectors, starts, axis=0)
-    return out
-
-
 def rounds(usable: DataFrame) -> Iterator[list[tuple[int, str]]]:
     """Distinct items by item_id and text, at most LARGEST at once."""
     rest = usable
@@ -193,20 +220,29 @@ def fit(documents: DataFrame, rows: list[tuple[int, str]], rank: int = RANK) ->
         g = total.reshape(n, rank)
         for _, _, hashes, upto in tokens(data, offsets, 1 << 18):
             number, of, first = weighted(items, hashes, upto)
-            y = block_sums(omega[number], of, int(first[-1]))
-            order = np.argsort(number, kind="stable")
-            of, number = of[order], number[order]
-            if len(number):
-                starts = np.flatnonzero(np.append(True, number[1:] != number[:-1]))
-                own = number[starts]
-                g[own] += np.add.reduceat(y[of], starts, axis=0) * items.idf[own, None]
+            y, counts, other = items.block_sums(omega, number, of, int(first[-1]))
+            g[items.frequent] += (counts.T @ y) * items.idf[items.frequent, None]
+            if len(other):
+                other = other[np.argsort(number[other], kind="stable")]
+                own = number[other]
+                starts = np.flatnonzero(np.append(True, own[1:] != own[:-1]))
+                g[own[starts]] += np.add.reduceat(y[of[other]], starts, axis=0) * items.idf[own[starts], None]
 
     g = _summed(documents, multiply, n * rank).reshape(n, rank)
     g /= max(1.0, float(np.linalg.norm(g)))
     b = items.rows / np.linalg.norm(items.rows, axis=1, keepdims=True).clip(1e-9)
     g += WEIGHT * b.T @ (b @ start)
-    space, _, _ = np.linalg.svd(g, full_matrices=False)
-    return items, space.astype(np.float32)
+    return items, eigenvectors(g, start.astype(np.float64))[0].astype(np.float32)
+
+
+def eigenvectors(sketch: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Eigenvectors and eigenvalues, descending, of a positive semidefinite M from sketch = M @ start."""
+    shift = np.sqrt(len(sketch)) * np.finfo(float).eps * float(np.linalg.norm(sketch)) * 1e4  # keeps the core definite
+    sketch = sketch + shift * start
+    core = start.T @ sketch
+    factor = np.linalg.cholesky((core + core.T) / 2)
+    vectors, values, _ = np.linalg.svd(np.linalg.solve(factor, sketch.T).T, full_matrices=False)
+    return vectors, np.maximum(0, values**2 - shift)
 
 
 def search(documents: DataFrame, fitted: tuple[Items, np.ndarray] | None, room: int) -> DataFrame:
@@ -227,7 +263,7 @@ def search(documents: DataFrame, fitted: tuple[Items, np.ndarray] | None, room:
                 of, first = block_of(upto)
                 number = items.number(hashes)
                 known = number >= 0
-                z = block_sums(words[number[known]], of[known], int(first[-1]))
+                z, _, _ = items.block_sums(words, number[known], of[known], int(first[-1]))
                 last = np.zeros(len(z), bool)
                 last[first[1:][np.diff(first) > 0] - 1] = True
                 z[:-1] += np.where(last[:-1, None], 0, z[1:])
@@ -240,7 +276,7 @@ def search(documents: DataFrame, fitted: tuple[Items, np.ndarray] | None, room:
                         continue
                     own = number[lo:hi]
                     share = items.common(i, own) / len(items.words[i])
-                    if share >= SHARE and 2 * len(items.answers[i].intersection(own.tolist())) >= len(items.answers[i]):
+                    if share >= SHARE and 3 * len(items.answers[i].intersection(own.tolist())) >= len(items.answers[i]):
                         found[a + r].append(int(items.ids[i]))
                         best[a + r] = max(best[a + r], share)
             yield pa.RecordBatch.from_arrays([*map(batch.column, keys), pa.array([sorted(x) for x in found], pa.list_(pa.int64())), pa.array(best)], [*keys, "item_ids", "best"])

@@ -1,7 +1,8 @@
 """Near-duplicate documents by b-bit MinHash.
 
 Signing: words are split at ASCII white space, A-Z lower-cased; a document's set holds its distinct k-word shingles as
-64-bit hashes. HASHES minima make BANDS band keys of ROWS minima each, and their low BITS bits are packed into a signature.
+64-bit hashes, which are compared within pairs only; a class of equal sets goes by a 128-bit cryptographic hash of the sorted
+set, and pairs are confirmed with shingle hashes of another seed. HASHES minima make BANDS band keys of ROWS minima each, and their low BITS bits are packed into a signature.
 Equal sets form a class first, which stands for its members. A band's bucket then links each member to the bucket's most
 central one (the member whose buckets are the fullest), so a group of n copies gives n candidates and not n squared; members
 that stay outside their hub's component then meet all of the bucket that is in other components. Candidates whose collision-corrected similarity, by bit counts, is more than SLACK below the threshold are
@@ -10,12 +11,13 @@ bits than similar sets can differ in shingles; the others are confirmed on full
 band with probability (1 - 0.8**4)**32 = 5e-8.
 
 Defined results: a text without words (or null) has an empty set and links with nothing; a text of fewer than k words has one
-shingle, the whole sequence; documents are identified by doc_id, so rows that repeat a doc_id share a component; a null
+shingle, the whole sequence; a text of any length is taken whole; doc_id has to be a bigint; documents are identified by doc_id, so rows that repeat a doc_id share a component; a null
 doc_id links with nothing, has no component and is kept; extra columns are ignored; an empty table gives no rows.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,13 +35,13 @@ PLACE = _RNG.integers(0, 2**63, 64, dtype=np.uint64) * U64(2) + U64(1)
 SIGN = "doc_id bigint, n_shingles bigint, k1 bigint, k2 bigint, bands array<bigint>, sig array<bigint>"
 
 
-def shingles(data: np.ndarray, offsets: np.ndarray, k: int) -> Iterator[np.ndarray]:
+def shingles(data: np.ndarray, offsets: np.ndarray, k: int, seed: int = 0) -> Iterator[np.ndarray]:
     """The sorted distinct shingle hashes of each row."""
     for a, b in blocks(offsets, 1 << 18):
         buf, starts = spaced(data, offsets, a, b)
         buf = ASCII_LOWER[buf]
         first, last, upto = word_spans(buf, starts)
-        words = span_hashes(buf, first, last)
+        words = span_hashes(buf, first, last, seed)
         n = len(words) - k + 1
         runs = np.zeros(max(0, n), np.uint64)
         for j in range(k if n > 0 else 0):
@@ -100,7 +102,7 @@ def signed(k: int):
             for i, s in enumerate(shingles(data, offsets, k)):
                 size[i] = len(s)
                 if len(s):
-                    keys[i] = s.sum(), mix(s * PLACE[6]).sum()
+                    keys[i] = np.frombuffer(hashlib.blake2b(s.tobytes(), digest_size=16).digest(), np.uint64)
                     held.append(s)
                     rows.append(i)
                     if sum(map(len, held[-64:])) > 1 << 15 or len(held) >= 512:
@@ -133,7 +135,7 @@ def confirmed(k: int, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             u, v = batch.column("u").to_numpy(), batch.column("v").to_numpy()
-            sides = (shingles(*utf8(batch.column(c)), k) for c in ("text_u", "text_v"))
+            sides = (shingles(*utf8(batch.column(c)), k, 1) for c in ("text_u", "text_v"))
             keep = []
             for x, y in zip(*sides, strict=True):
                 least, most = sorted((len(x), len(y)))

@@ -366,3 +366,75 @@ def test_empty_tables(spark, docs):
     assert decontaminate.leaks(none, bench).count() == 0
     assert langid.identify(none, langid.fit(none, F.lit(True))).count() == 0
     assert bpe.encode_documents(none, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN).count() == 0
+
+
+def test_decontamination_of_paraphrases(spark):
+    """Items with 20 % and 30 % of their words replaced, against the exact rule of the longest common subsequence alone."""
+    r = random.Random(23)
+    bodies = [t.split() for _, t in texts(table(spark, DATA, "documents")) if len(t.split()) > 100]
+
+    def cut(n):
+        w = r.choice(bodies)
+        return w[(a := r.randrange(len(w) - n)) : a + n]
+
+    words = lambda ws: re.findall(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", " ".join(ws).lower())
+
+    def common(a, b):
+        row = [0] * (len(b) + 1)
+        for x in a:
+            last = 0
+            for j, y in enumerate(b):
+                last, row[j + 1] = row[j + 1], last + 1 if x == y else max(row[j], row[j + 1])
+        return row[-1]
+
+    items = [cut(r.randint(15, 57)) for _ in range(120)]
+    rows, want = [], []
+    for share in (20, 30):
+        for k, own in enumerate(items):
+            made = [w if r.randrange(100) >= share else r.choice(WORDS) for w in own]
+            if common(words(own), words(made)) >= 0.6 * len(words(own)):
+                want.append((share, share * 1000 + k, k))
+            rows.append((share * 1000 + k, " ".join([*cut(60), *made, *cut(60)])))
+    bench = spark.createDataFrame([(k, " ".join(w)) for k, w in enumerate(items)], "item_id bigint, text string")
+    corpus = table(spark, DATA, "documents").select((-1 - F.col("doc_id")).alias("doc_id"), "text")  # the items are cut from it
+    got = {(x.doc_id, k) for x in decontaminate.leaks(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4).unionByName(corpus), bench).collect() for k in x.item_ids if x.doc_id >= 0}
+    for share in (20, 30):
+        own = [(i, k) for s, i, k in want if s == share]
+        recall = sum(x in got for x in own) / len(own)
+        print(f"op1: {share} % of the words replaced: recall {recall:.3f} of {len(own)}")
+        assert recall >= 0.9
+    said = dict(rows)
+    for i, k in got - {(i, k) for _, i, k in want}:  # parts of an item that another item's surroundings hold
+        assert common(words(items[k]), words(said[i].split())) >= 0.6 * len(words(items[k]))
+
+
+def test_words_of_equal_polynomial_hashes(spark):
+    """A word of 1,024 bytes and its complement in the Thue-Morse sequence: equal under any polynomial hash modulo 2**64."""
+    one = "".join("ab"[i.bit_count() % 2] for i in range(1024))
+    other = one.translate(str.maketrans("ab", "ba"))
+    rows = [(1, one), (2, other), (3, f"x {one} y z"), (4, f"x {other} y z"), (5, one)]
+    got = {r.doc_id: r.component_id for r in neardup.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string"), k=4).collect()}
+    assert got == {1: 1, 2: 2, 3: 3, 4: 4, 5: 1}
+
+
+def test_line_dedup_keeps_clashing_columns(spark):
+    names = ["lines", "stay", "own", "uid", "row", "d", "levels", "n", "h", "a.b"]
+    df = spark.createDataFrame([("k", "a b c\na b c", *names, 7), (None, None, *names, 7)], "doc_id string, text string, " + ", ".join(f"`{c}` string" for c in names) + ", n_lines bigint")
+    out = linededup.dedup_lines(df)
+    assert out.columns == ["doc_id", "text", *names, "n_lines", "n_removed"]
+    assert sorted((tuple(r) for r in out.collect()), key=str) == sorted([("k", "a b c", *names, 2, 1), (None, None, *names, 1, 0)], key=str)
+
+
+def test_line_dedup_of_a_group_of_variants(spark):
+    """More variants of one line than hubs, most of them unlike each other; long lines and lists."""
+    r = random.Random(3)
+    base = [f"w{i}" for i in range(60)]
+    rows = []
+    for i in range(120):
+        own = base[:]
+        for k in r.sample(range(60), r.choice([1, 4, 6, 9])):
+            own[k] = f"e{i}x{k}"
+        rows.append((i, " ".join(own) + "\nshared " + " ".join(r.choice(WORDS) for _ in range(8))))
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    got = sorted(((x.doc_id, x.n_lines, x.n_removed, sha(x.text)) for x in linededup.dedup_lines(df).collect()), key=str)
+    assert got == deduped(rows)
