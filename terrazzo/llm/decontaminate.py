@@ -3,7 +3,7 @@
 Texts become TF-IDF vectors over the benchmark's vocabulary; frequencies are counted over all document blocks of BLOCK
 words. A randomised SVD in one distributed pass: with all document blocks A and the benchmark items B (weighted W, so that
 the space is spanned by what has to be retrieved) the range of M = A'A + W B'B is sketched as Y = M Q for random Q, M is
-projected to the small core Q'Y, and the SVD of Y times the inverse Cholesky factor of the core gives M's eigenvectors (the
+projected to the small core Q'Y, and the SVD of Y times the inverse square root of the core gives M's eigenvectors (the
 right singular vectors of the stacked passages) and eigenvalues (the Nystrom form of the randomised SVD). Each passage (two
 adjacent blocks) is projected as the sum of its words' latent vectors, and items whose cosine reaches COSINE are candidates.
 So is an item of whose answer words (below) half stand within its own length, as the cosine of a short item depends on the
@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from terrazzo.llm.common import ASCII_LOWER, U64, blocks, spaced, span_hashes, stash, utf8, word_spans
 
-BLOCK, RANK, WEIGHT, COSINE, SHARE, FREQUENT, PIECE = 32, 256, 10.0, 0.4, 0.6, 64, 1 << 16
+BLOCK, RANK, WEIGHT, COSINE, SHARE, FREQUENT, PIECE = 32, 256, 10.0, 0.4, 0.6, 64, 1 << 13
 LARGEST = RANK - 8  # items of a round; more than the space has dimensions for would blur each other
 TOKEN = np.zeros(256, bool)
 TOKEN[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = True
@@ -237,12 +237,11 @@ def fit(documents: DataFrame, rows: list[tuple[int, str]], rank: int = RANK) ->
 
 def eigenvectors(sketch: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Eigenvectors and eigenvalues, descending, of a positive semidefinite M from sketch = M @ start."""
-    shift = np.sqrt(len(sketch)) * np.finfo(float).eps * float(np.linalg.norm(sketch)) * 1e4  # keeps the core definite
-    sketch = sketch + shift * start
     core = start.T @ sketch
-    factor = np.linalg.cholesky((core + core.T) / 2)
-    vectors, values, _ = np.linalg.svd(np.linalg.solve(factor, sketch.T).T, full_matrices=False)
-    return vectors, np.maximum(0, values**2 - shift)
+    values, basis = np.linalg.eigh((core + core.T) / 2)
+    sound = values > values.max(initial=0) * 1e-9  # directions that only rounding fills are left out
+    vectors, roots, _ = np.linalg.svd(sketch @ (basis[:, sound] / np.sqrt(values[sound])), full_matrices=False)
+    return vectors, roots**2
 
 
 def search(documents: DataFrame, fitted: tuple[Items, np.ndarray] | None, room: int) -> DataFrame:
