@@ -129,23 +129,6 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> U64(31))
 
 
-_RNG = np.random.default_rng(20240229)
-BYTE_KEY = _RNG.integers(1, 2**63, 256, dtype=np.uint64)
-BASE = 0x9E3779B97F4A7C15
-_POWERS = {"up": np.ones(1, np.uint64), "down": np.ones(1, np.uint64)}
-
-
-def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """BASE**i and its inverse modulo 2**64, for i < n."""
-    if len(_POWERS["up"]) < n:
-        size = max(n, 1 << 21)
-        for key, base in (("up", BASE), ("down", pow(BASE, -1, 1 << 64))):
-            factors = np.full(size, base, np.uint64)
-            factors[0] = 1
-            _POWERS[key] = np.cumprod(factors, dtype=np.uint64)
-    return _POWERS["up"][:n], _POWERS["down"][:n]
-
-
 def span_hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int = 0) -> np.ndarray:
     """64-bit hashes of buf[start:end], all at once: eight bytes a step are mixed into the state of the spans that have them;
     what goes beyond LONG bytes is condensed by a cryptographic hash first."""

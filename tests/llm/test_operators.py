@@ -126,9 +126,9 @@ def cut_repeats(rows: list[tuple], length: int) -> list[tuple]:
     return sorted(out, key=str)
 
 
-@pytest.mark.parametrize("hot", [3000, 1])
-def test_repeated_substrings(docs, monkeypatch, hot):
-    monkeypatch.setattr(substrings, "HOT", hot)
+@pytest.mark.parametrize("split", [512, 1])
+def test_repeated_substrings(docs, monkeypatch, split):
+    monkeypatch.setattr(substrings, "SPLIT", split)
     got = sorted((tuple(r) for r in substrings.remove_repeats(docs).drop("kept").collect()), key=str)
     assert got == cut_repeats(texts(docs), 200)
 
@@ -138,6 +138,25 @@ def test_repeated_substrings_of_tables(spark):
     assert got == cut_repeats(texts(table(spark, DATA, "documents")), 200)
 
 
+def test_repeated_substrings_of_many_edited_copies(spark, monkeypatch):
+    """One anchor with more contexts than a group may hold, divided down to single windows; a text of several pieces."""
+    monkeypatch.setattr(substrings, "SPLIT", 8)
+    monkeypatch.setattr(substrings, "PIECE", 1 << 12)
+    r = random.Random(8)
+    base = prose(150, 41)
+    rows = []
+    for i in range(60):
+        own = list(base)
+        for k in r.sample(range(len(own)), r.choice([1, 2, 5])):
+            own[k] = r.choice("XYZ")
+        rows.append((i, "".join(own)))
+    rows.append((60, prose(4000, 42) + base[100:420] + prose(3000, 43)))
+    rows.append((61, "ab" * 2000 + base[:300]))
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    got = sorted((tuple(x) for x in substrings.remove_repeats(df).drop("kept").collect()), key=str)
+    assert got == cut_repeats(rows, 200)
+
+
 def test_suffix_order():
     r = np.random.default_rng(1)
     for n in [*range(30), 500]:
@@ -438,3 +457,13 @@ def test_line_dedup_of_a_group_of_variants(spark):
     df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
     got = sorted(((x.doc_id, x.n_lines, x.n_removed, sha(x.text)) for x in linededup.dedup_lines(df).collect()), key=str)
     assert got == deduped(rows)
+
+
+def test_eigenvectors():
+    r = np.random.default_rng(2)
+    a = r.standard_normal((300, 40)) @ np.diag(0.7 ** np.arange(40)) @ r.standard_normal((40, 40))
+    m = a.T @ a
+    vectors, values = decontaminate.eigenvectors(m @ (start := r.standard_normal((40, 40))), start)
+    want = np.linalg.eigvalsh(m)[::-1][: len(values)]
+    assert len(values) > 10 and np.allclose(values, want, rtol=1e-3, atol=1e-6 * want[0])
+    assert np.allclose(vectors.T @ vectors, np.eye(len(values)), atol=1e-8)
