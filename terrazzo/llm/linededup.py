@@ -151,7 +151,7 @@ def similar_nodes(nodes: DataFrame, documents: DataFrame, percent: int) -> DataF
     rank = F.row_number().over(Window.partitionBy("tok").orderBy(F.desc("lines"), "doc_id", "n", "h")).alias("rank")
     hubs = listed.select("*", rank).where(F.floor((F.col("rank") - 1) / (HUBS + 1)) == 0)  # one more shows a longer list
     beyond = F.col("y.rank") > HUBS
-    same = F.col("x.lines") + F.col("y.lines") > 0  # always so; with the same columns one exchange serves both sides
+    same = F.coalesce("x.lines", "y.lines") > 0  # always so; with the same columns one exchange serves both sides
     met = listed.alias("x").join(hubs.alias("y"), (F.col("x.tok") == F.col("y.tok")) & same & (beyond | candidate(percent)))
     pointer = F.when(~beyond, F.shiftleft(differ().cast("long"), 56).bitwiseOR(F.shiftrightunsigned("y.h", 8)))
     met = met.select(*(F.col(f"x.{c}") for c in NODE), pointer.alias("pointer"))
