@@ -6,7 +6,8 @@ turn that does not come back identical is rendered with its conflicting content
 
 Defined results: a null text or role is empty; rows are ordered by turn (nulls first), then role, then text, so ties and
 repeated rows all stay, in a fixed order; a null conv_id is a conversation of its own; an empty table gives no rows; extra
-columns are ignored. One conversation becomes one value, so its text has to fit Spark's limit of 2 GB for a value.
+columns are ignored; texts and conversations of any length are taken whole, up to Spark's limit of 2 GB for one value, as a
+conversation becomes one value.
 """
 
 from __future__ import annotations
@@ -42,46 +43,52 @@ def parse(formatted: Column) -> Column:
     return F.transform(F.slice(parts, F.lit(2), F.greatest(F.size(parts) - 1, F.lit(0))), turn)
 
 
-def format_conversations(conversations: DataFrame, trained_role: str = "assistant") -> DataFrame:
-    """conv_id, formatted, turns (as parsed back), loss_spans (code points of `formatted` under the loss mask).
+def format_conversations(conversations: DataFrame, trained_role: str = "assistant", keys: tuple[str, ...] = ("conv_id",)) -> DataFrame:
+    """keys, formatted, turns (as parsed back), loss_spans (of `formatted` under the loss mask: code points, and bytes).
 
     Fails if a conversation does not come back identical after escaping.
     """
-    rows = conversations.select("conv_id", "turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
+    rows = conversations.select(*keys, "turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
     source = F.array(F.struct("role", "text"))
     plain = parse(render(F.col("role"), F.col("text"))) == source
     safe_role = F.replace(escape(F.col("role")), F.lit("\n"), F.lit(LINE))
     rows = rows.withColumn("plain", plain)
     rows = rows.withColumns({"r": F.when(F.col("plain"), F.col("role")).otherwise(safe_role), "t": F.when(F.col("plain"), F.col("text")).otherwise(escape(F.col("text")))})
-    order = Window.partitionBy("conv_id").orderBy("turn", "role", "text").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    rows = rows.withColumn("rendered", render(F.col("r"), F.col("t"))).withColumn("upto", F.sum(F.length("rendered")).over(order))
-    tail = len(END) + 1
-    span = F.struct((F.col("upto") - tail - F.length("t")).alias("start"), (F.col("upto") - tail).alias("end"))
-    grouped = rows.groupBy("conv_id").agg(
+    order = Window.partitionBy(*keys).orderBy("turn", "role", "text").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    rows = rows.withColumn("rendered", render(F.col("r"), F.col("t")))
+    rows = rows.withColumns({"upto": F.sum(F.length("rendered")).over(order), "bytes": F.sum(F.octet_length("rendered")).over(order)})
+    end, end_byte = F.col("upto") - len(END) - 1, F.col("bytes") - len(END) - 1
+    span = F.struct((end - F.length("t")).alias("start"), end.alias("end"), (end_byte - F.octet_length("t")).alias("start_byte"), end_byte.alias("end_byte"))
+    grouped = rows.groupBy(*keys).agg(
         F.sort_array(F.collect_list(F.struct("turn", "role", "text", "rendered", F.when(F.col("role") == trained_role, span).alias("span")))).alias("x")
     )
     whole = grouped.select(
-        "conv_id",
+        *keys,
         F.array_join(F.transform("x", lambda t: t.rendered), "").alias("formatted"),
         F.transform("x", lambda t: F.struct(t.role.alias("role"), t.text.alias("text"))).alias("source"),
         F.filter(F.transform("x", lambda t: t.span), lambda s: s.isNotNull()).alias("loss_spans"),
     ).withColumn("back", parse(F.col("formatted")))
     return whole.select(
-        "conv_id",
+        *keys,
         "formatted",
         F.when(F.col("back") == F.col("source"), F.col("back")).otherwise(F.raise_error(F.lit("a conversation did not survive its round trip"))).alias("turns"),
         "loss_spans",
     )
 
 
-def digest(formatted: DataFrame, trained_role: str = "assistant") -> DataFrame:
+def digest(formatted: DataFrame) -> DataFrame:
+    """Figures read back from the output: of the parsed turns, and of what stands in the rendered text under the loss mask."""
     text = F.array_join(F.transform("turns", lambda t: F.concat(t.role, F.lit("\n"), t.text, F.lit("\n"))), "")
-    loss = F.array_join(F.transform(F.filter("turns", lambda t: t.role == trained_role), lambda t: t.text), "")
-    return formatted.select(
+    out = formatted.withColumn("raw", F.encode("formatted", "UTF-8"))  # a slice of bytes costs its own length, not the text's
+    masked = lambda s: F.substring(F.col("raw"), (s.start_byte + 1).cast("int"), (s.end_byte - s.start_byte).cast("int"))
+    loss = F.array_join(F.transform("loss_spans", lambda s: unescape(F.decode(masked(s), "UTF-8"))), "")
+    out = out.withColumns({"loss": loss, "formatted_bytes": F.octet_length("raw").cast("long")})
+    return out.select(
         "conv_id",
         F.size("turns").cast("long").alias("n_turns"),
         F.sha2(text, 256).alias("turns_sha256"),
-        F.length(loss).cast("long").alias("loss_chars"),
-        F.sha2(loss, 256).alias("loss_sha256"),
+        F.length("loss").cast("long").alias("loss_chars"),
+        F.sha2("loss", 256).alias("loss_sha256"),
         F.length("formatted").cast("long").alias("formatted_chars"),
+        "formatted_bytes",
     )

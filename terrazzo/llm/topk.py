@@ -1,12 +1,15 @@
 """Exact top-k inner-product search by exhaustive term-at-a-time accumulation.
 
-Rows are packed into blocks; query blocks meet every candidate block through an equi-join on a block number, each pair of
-blocks scatters the postings of each term (vector component) into dense score arrays, selects its own k best, and the
-partial lists are merged by a second selection.
+Rows are packed into blocks, in the narrowest integers that hold them. Each wave of QUERIES queries meets each block of
+CANDIDATES candidates once, through an equi-join on both numbers; so a row travels once for each block of the other side,
+and a task holds one wave and one block. A pair scatters the postings of each term (vector component) into dense score
+arrays, selects its own k best, and the partial lists are merged by a second selection.
 
 Defined results: a vector that is null, empty of values, or holds a null or non-finite component takes no part; a missing
-component (vectors of unequal length) counts as zero; rows that repeat a vec_id count once (the greatest vector is
-taken); a null vec_id takes no part; equal scores rank by smaller vec_id; an empty table gives no rows.
+component (vectors of unequal length) counts as zero; vectors of any length are taken whole; rows that repeat a vec_id count
+once (the greatest vector is taken); a null vec_id takes no part; equal scores rank by smaller vec_id; extra columns are
+ignored; an empty table gives no rows. Scores are 64-bit integers: a finite component beyond 2**62 after scaling, and vectors
+whose inner product could leave the range, are errors, never wrong scores.
 """
 
 from __future__ import annotations
@@ -20,19 +23,32 @@ from pyspark.sql import functions as F
 
 from terrazzo.llm.common import stash
 
-CANDIDATES, QUERIES = 8192, 1024
+CANDIDATES, QUERIES = 16384, 4096
 
 
 def quantise(vectors: DataFrame, scale: int = 64) -> DataFrame:
     """vec_id, x array<bigint> = floor(scale * component); unusable vectors are left out."""
     values = F.transform("embedding", lambda v: v.cast("double"))
     fit = F.col("vec_id").isNotNull() & F.col("embedding").isNotNull() & F.coalesce(F.forall(values, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf"))), F.lit(False))
-    return vectors.where(fit).groupBy("vec_id").agg(F.max(F.transform("embedding", lambda v: F.floor(v.cast("double") * scale))).alias("x"))
+    large = F.exists(values, lambda v: F.abs(v * scale) > 2.0**62)
+    whole = F.transform(values, lambda v: F.floor(v * scale))
+    return vectors.where(fit).select("vec_id", F.when(large, F.raise_error(F.lit("a component is too large for integer scores"))).otherwise(whole).alias("x")).groupBy("vec_id").agg(F.max("x").alias("x"))
+
+
+def narrow(x: np.ndarray) -> np.ndarray:
+    """The same integers in the narrowest type that holds them."""
+    most = max(int(x.max(initial=0)), -int(x.min(initial=0)) - 1)
+    return x.astype(next(t for t in (np.int8, np.int16, np.int32, np.int64) if most <= np.iinfo(t).max))
+
+
+def unpacked(row: dict, prefix: str) -> tuple[np.ndarray, np.ndarray]:
+    ids = np.frombuffer(row[f"{prefix}ids"], np.int64)
+    return ids, np.frombuffer(row[f"{prefix}data"], f"i{row[f'{prefix}width']}").reshape(len(ids), row[f"{prefix}dim"])
 
 
 def _packed(rows: DataFrame, blocks: int, prefix: str) -> DataFrame:
-    """One row per block: the block's number, ids ascending, and values as flat little-endian arrays. Ids are hashed to blocks, so they are even."""
-    names = [f"{prefix}block", f"{prefix}ids", f"{prefix}data", f"{prefix}dim"]
+    """One row per block: the block's number, ids ascending, and values as flat arrays. Ids are hashed to blocks, so they are even."""
+    names = [f"{prefix}{c}" for c in ("block", "ids", "data", "dim", "width")]
 
     def out(block: int, held: list[pa.RecordBatch]) -> pa.RecordBatch:
         t = pa.Table.from_batches(held)
@@ -41,7 +57,8 @@ def _packed(rows: DataFrame, blocks: int, prefix: str) -> DataFrame:
         dense = np.zeros((len(lens), int(lens.max(initial=0))), np.int64)
         dense[np.arange(dense.shape[1])[None, :] < lens[:, None]] = lists.flatten().to_numpy(zero_copy_only=False)
         ids = t.column("vec_id").to_numpy().astype(np.int64)
-        return pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([ids.tobytes()], pa.binary()), pa.array([dense.tobytes()], pa.binary()), pa.array([dense.shape[1]], pa.int32())], names)
+        dense = narrow(dense)
+        return pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([ids.tobytes()], pa.binary()), pa.array([dense.tobytes()], pa.binary()), pa.array([dense.shape[1]], pa.int32()), pa.array([dense.itemsize], pa.int32())], names)
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -61,7 +78,7 @@ def _packed(rows: DataFrame, blocks: int, prefix: str) -> DataFrame:
             yield out(block, held)
 
     dealt = rows.withColumn("b", F.pmod(F.xxhash64("vec_id"), F.lit(blocks))).repartition(blocks, "b").sortWithinPartitions("b", "vec_id")
-    return dealt.mapInArrow(pack, f"{names[0]} bigint, {names[1]} binary, {names[2]} binary, {names[3]} int")
+    return dealt.mapInArrow(pack, f"{names[0]} bigint, {names[1]} binary, {names[2]} binary, {names[3]} int, {names[4]} int")
 
 
 def best(scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -82,7 +99,10 @@ def best(scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
 
 def accumulate(queries: np.ndarray, candidates: np.ndarray) -> np.ndarray:
     """Inner products, a term at a time: each non-zero weight of a query scatters the term's postings into its scores."""
-    bound = int(np.abs(queries).max(initial=0)) * int(np.abs(candidates).max(initial=0)) * max(1, queries.shape[1])
+    most = lambda x: max(int(x.max(initial=0)), -int(x.min(initial=0)))
+    bound = most(queries) * most(candidates) * max(1, queries.shape[1])
+    if bound >= 2**63:
+        raise OverflowError("an inner product may not fit a 64-bit score")
     kind = np.int32 if bound < 2**31 else np.int64
     scores = np.zeros((len(queries), len(candidates)), kind)
     for term in range(min(queries.shape[1], candidates.shape[1])):
@@ -98,31 +118,35 @@ def accumulate(queries: np.ndarray, candidates: np.ndarray) -> np.ndarray:
 
 
 def _scored(k: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                qids, cids = np.frombuffer(row["q_ids"], np.int64), np.frombuffer(row["c_ids"], np.int64)
-                qs = np.frombuffer(row["q_data"], np.int64).reshape(len(qids), row["q_dim"])
-                cs = np.frombuffer(row["c_data"], np.int64).reshape(len(cids), row["c_dim"])
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        out = [pa.RecordBatch.from_arrays([pa.array([], pa.int64())] * 3, NAMES)]
+        for q in left.to_pylist():
+            qids, qs = unpacked(q, "q_")
+            for c in right.to_pylist():
+                cids, cs = unpacked(c, "c_")
                 for a in range(0, len(qids), 128):
                     part = accumulate(qs[a : a + 128], cs)
-                    r, c = best(part, k + 1)  # one more, as the query itself may be among them
-                    other = qids[a + r] != cids[c]
-                    r, c = r[other], c[other]
-                    yield pa.RecordBatch.from_arrays([pa.array(qids[a + r]), pa.array(cids[c]), pa.array(part[r, c].astype(np.int64))], ["query_id", "vec_id", "score"])
+                    r, at = best(part, k + 1)  # one more, as the query itself may be among them
+                    other = qids[a + r] != cids[at]
+                    r, at = r[other], at[other]
+                    out.append(pa.RecordBatch.from_arrays([pa.array(qids[a + r]), pa.array(cids[at]), pa.array(part[r, at].astype(np.int64))], NAMES))
+        return pa.Table.from_batches(out)
 
     return run
 
 
+NAMES = ["query_id", "vec_id", "score"]
+
+
 def top_k(vectors: DataFrame, is_query: Column, k: int = 20, scale: int = 64) -> DataFrame:
     """query_id, rank (from 1), vec_id, score: the k best other rows of each row that meets `is_query`."""
-    conf = vectors.sparkSession.conf
     x = stash(quantise(vectors, scale), "topk-vectors")
+    every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long")))
     blocks = -(-max(1, x.count()) // CANDIDATES)
-    query_blocks = -(-max(1, x.where(is_query).count()) // QUERIES)
-    candidates = _packed(x, blocks, "c_").withColumn("q_block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(query_blocks - 1).cast("long"))))
-    pairs = candidates.join(_packed(x.where(is_query), query_blocks, "q_"), "q_block")
-    tasks = max(blocks * query_blocks, int(conf.get("spark.sql.shuffle.partitions")))
-    scored = pairs.repartition(tasks, "q_block", "c_block").select("q_ids", "q_data", "q_dim", "c_ids", "c_data", "c_dim").mapInArrow(_scored(k), "query_id bigint, vec_id bigint, score bigint")
+    waves = -(-max(1, x.where(is_query).count()) // QUERIES)
+    candidates = _packed(x, blocks, "c_").withColumn("q_block", every(waves))
+    queries = _packed(x.where(is_query), waves, "q_").withColumn("c_block", every(blocks))
+    pairs = queries.groupBy("c_block", "q_block").cogroup(candidates.groupBy("c_block", "q_block"))
+    scored = pairs.applyInArrow(_scored(k), "query_id bigint, vec_id bigint, score bigint")
     ranked = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return scored.withColumn("rank", F.row_number().over(ranked)).where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")

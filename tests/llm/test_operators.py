@@ -467,3 +467,31 @@ def test_eigenvectors():
     want = np.linalg.eigvalsh(m)[::-1][: len(values)]
     assert len(values) > 10 and np.allclose(values, want, rtol=1e-3, atol=1e-6 * want[0])
     assert np.allclose(vectors.T @ vectors, np.eye(len(values)), atol=1e-8)
+
+
+def test_top_k_refuses_what_does_not_fit(spark):
+    for big in (3e38, 2.0**40):
+        df = spark.createDataFrame([(1, [big, 1.0]), (2, [big, 1.0])], "vec_id bigint, embedding array<float>")
+        with pytest.raises(Exception, match="too large|may not fit"):
+            topk.top_k(df, F.lit(True), k=2).collect()
+
+
+def test_top_k_in_blocks(spark, monkeypatch):
+    """Several blocks and waves, one very long vector."""
+    monkeypatch.setattr(topk, "CANDIDATES", 20)
+    monkeypatch.setattr(topk, "QUERIES", 4)
+    r = random.Random(6)
+    rows = [(i, [r.uniform(-5, 5) for _ in range(6)]) for i in range(100)] + [(100, [0.5] * 20_000)]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>")
+    x = {i: np.pad(np.floor(64 * np.array(v, np.float32).astype(float)).astype(int), (0, 20_000 - len(v))) for i, v in rows}
+    want = [(q, n + 1, j, s) for q in x if q % 5 == 0 for n, (s, j) in enumerate(sorted(((int(x[q] @ x[j]), j) for j in x if j != q), key=lambda p: (-p[0], p[1]))[:3])]
+    assert sorted(tuple(r) for r in topk.top_k(df, F.col("vec_id") % 5 == 0, k=3).collect()) == sorted(want)
+
+
+def test_chat_digest_reads_the_mask(spark):
+    rows = [(-1, 0, "user", "x"), (-1, 1, "assistant", "é<|im_end|>中"), (7, 0, "assistant", "w" * 300_000 + "<\\|"), (7, 1, "assistant", None)]
+    out = chat.format_conversations(spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string"))
+    got = {r.conv_id: r for r in chat.digest(out).collect()}
+    assert got[-1].loss_sha256 == sha(rows[1][3]) and got[7].loss_chars == 300_003 and got[7].loss_sha256 == sha(rows[2][3])
+    shifted = out.withColumn("loss_spans", F.transform("loss_spans", lambda s: F.struct(s.start, s.end, (s.start_byte - 1).alias("start_byte"), s.end_byte)))
+    assert {r.conv_id: r.loss_sha256 for r in chat.digest(shifted).collect()}[-1] != sha(rows[1][3])
