@@ -1,14 +1,16 @@
 """License scans by an exact set-similarity join, in DataFrame functions only.
 
 Words are runs of ASCII letters (lower-cased) and digits and of all non-ASCII characters. Base labels are phrases whose
-words stand consecutively. The join finds every text block (BLOCK words, one every STEP) that holds at least THRESHOLD of
-a template's distinct words: template words are ordered by their frequency over the whole corpus, rarest first; a block
-has to hold a word of the template's prefix (size - needed + 1 words), enough template words at all (length), and enough
-of them from the first common one onwards (position); what is left is verified exactly. Templates are a fixed list, so
-they travel inside the plan as literals, and no row is shuffled but the counts of template words.
-
-Defined results: a null text is empty; repeated rows give repeated rows; a template shorter than a block is always whole
-inside some block if its words stand within BLOCK - STEP words; extra columns are ignored; an empty table gives no rows.
+words stand consecutively. The join finds every text block that holds at least THRESHOLD of a template's distinct words; a
+block is as many consecutive words as twice the template has, LEAST at least, and starts at any word of the template (a
+block that starts elsewhere holds no more than the one from its first template word on). Template words are ordered by
+their frequency over the whole corpus, rarest first, and a template is indexed under its prefix (size - needed + 1 words):
+only blocks around a prefix word are looked at (prefix), if the template's words from the block's first common one onwards
+suffice (position) and the block has enough words (length); what is left is counted exactly. Templates are a fixed list, so
+the index travels inside the plan as literals, and no row is shuffled but the counts of template words.
+
+Defined results: a null text is empty; a text of any length is scanned whole; equal scores need no order, as only the
+highest is told; repeated rows give repeated rows; extra columns are ignored; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -18,9 +20,9 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-BLOCK, STEP, THRESHOLD = 64, 32, 0.8
+LEAST, THRESHOLD = 64, 0.8
 
-#: Base phrases, and notices as their licences word them.
+#: Base phrases, and notices and texts as their licences word them.
 PHRASES = {"gnu general public license": "gpl", "apache license": "apache", "cc by": "cc-by", "mit license": "mit"}
 TEMPLATES = {
     "apache-2": "licensed under the apache license version 2 0",
@@ -34,6 +36,13 @@ TEMPLATES = {
     "mit-notice": "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files",
     "mit-release": "released under the mit license",
     "mpl-notice": "this source code form is subject to the terms of the mozilla public license v 2 0",
+    "apache-2-header": "licensed under the apache license version 2 0 the license you may not use this file except in compliance with the license you may obtain a copy of the license at http www apache org licenses license 2 0 unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis without warranties or conditions of any kind either express or implied see the license for the specific language governing permissions and limitations under the license",
+    "bsd-2": "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer in the documentation and or other materials provided with the distribution",
+    "gpl-3-notice": "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 3 of the license or at your option any later version this program is distributed in the hope that it will be useful but without any warranty without even the implied warranty of merchantability or fitness for a particular purpose see the gnu general public license for more details",
+    "isc": "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies the software is provided as is and the author disclaims all warranties with regard to this software including all implied warranties of merchantability and fitness in no event shall the author be liable for any special direct indirect or consequential damages or any damages whatsoever resulting from loss of use data or profits whether in an action of contract negligence or other tortious action arising out of or in connection with the use or performance of this software",
+    "mit": "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software to deal in the software without restriction including without limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the software and to permit persons to whom the software is furnished to do so subject to the following conditions the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software the software is provided as is without warranty of any kind express or implied including but not limited to the warranties of merchantability fitness for a particular purpose and noninfringement in no event shall the authors or copyright holders be liable for any claim damages or other liability whether in an action of contract tort or otherwise arising from out of or in connection with the software or the use or other dealings in the software",
+    "unlicense": "this is free and unencumbered software released into the public domain anyone is free to copy modify publish use compile sell or distribute this software either in source code form or as a compiled binary for any purpose commercial or non commercial and by any means",
+    "zlib": "this software is provided as is without any express or implied warranty in no event will the authors be held liable for any damages arising from the use of this software permission is granted to anyone to use this software for any purpose including commercial applications and to alter it and redistribute it freely subject to the following restrictions",
     "public-domain": "this is free and unencumbered software released into the public domain",
 }
 
@@ -65,9 +74,10 @@ def scan(documents: DataFrame, templates: dict[str, str] = TEMPLATES, threshold:
         need = math.ceil(threshold * len(ranks) - 1e-9)
         prefix = ranks[: len(ranks) - need + 1]
         rare |= {vocabulary[r - 1] for r in prefix}
-        ints = lambda xs: F.array(*map(F.lit, xs))
-        rows.append(F.struct(F.lit(label).alias("label"), F.lit(need).alias("need"), F.lit(len(ranks)).alias("size"), ints(prefix).alias("prefix"), ints(ranks).alias("ranks")))
-    known, all_templates = F.array(*map(F.lit, vocabulary)), F.array(*rows)
+        own = lambda ranks: F.array(*(F.lit(vocabulary[r - 1]) for r in ranks))
+        length = max(LEAST, 2 * len(text.split()))
+        rows.append(F.struct(F.lit(label).alias("label"), F.lit(need).alias("need"), F.lit(len(ranks)).alias("size"), F.lit(length).alias("length"), own(prefix).alias("prefix"), own(ranks).alias("words")))
+    all_templates = F.array(*rows)
 
     text = F.coalesce("text", F.lit(""))
     own = documents.select("doc_id", F.regexp_count(text, F.lit(WORD)).cast("long").alias("n_words"), words(text).alias("words"))
@@ -85,21 +95,25 @@ def scan(documents: DataFrame, templates: dict[str, str] = TEMPLATES, threshold:
         last.append(F.when(there, F.col("n_words") - size - (spaces(F.substring_index("padded", inner, -1)) / 2).cast("long")))
         labels.append(F.when(there, F.lit(label)))
 
-    def matches(block: Column) -> Column:
-        """Labels and containments of the templates that the block meets."""
-        ranks = F.sort_array(F.array_distinct(F.filter(F.transform(block, lambda w: F.array_position(known, w).cast("int")), lambda r: r > 0)))
+    words_at = lambda i: F.get("words", i)
+    rare_places = F.filter(F.sequence(F.lit(0), F.size("words") - 1), lambda i: words_at(i).isin(sorted(rare)))
 
-        def meets(ranks: Column, t: Column) -> Column:
-            common = F.array_intersect(ranks, t["prefix"])
-            at = F.element_at(common, 1)
-            rest = F.least(t["size"] - F.array_position(t["ranks"], at), F.size(ranks) - F.array_position(ranks, at)) + 1
-            return (F.size(ranks) >= t["need"]) & (F.size(common) > 0) & (rest >= t["need"]) & (F.size(F.array_intersect(ranks, t["ranks"])) >= t["need"])
+    def blocks_of(t: Column, places: Column) -> Column:
+        """Starts, label and containment of the blocks around the template's prefix words that hold enough of it."""
+        around = lambda i: F.filter(F.sequence(F.greatest(F.lit(0), i - t["length"] + 1), i), lambda s: F.array_contains(t["words"], words_at(s)))
+        starts = F.array_distinct(F.flatten(F.transform(F.filter(places, lambda i: F.array_contains(t["prefix"], words_at(i))), around)))
 
-        hits = F.transform(F.array(ranks), lambda r: F.transform(F.filter(all_templates, lambda t: meets(r, t)), lambda t: F.struct(t["label"].alias("label"), (F.size(F.array_intersect(r, t["ranks"])) / t["size"]).alias("overlap"))))
-        return F.flatten(hits)
+        def common(s: Column) -> Column:
+            block = F.slice("words", s + 1, t["length"])
+            met = F.array_intersect(t["words"], block)  # in the order of rarity
+            placed = t["size"] - F.array_position(t["words"], F.element_at(met, 1)) + 1 >= t["need"]
+            return F.when((F.size(block) >= t["need"]) & placed, F.size(met)).otherwise(0)
 
-    numbers = F.sequence(F.lit(0).cast("long"), F.greatest(F.lit(0), F.floor((F.col("n_words") - 1) / STEP)))
-    blocks = F.flatten(F.transform(numbers, lambda i: F.transform(matches(F.slice("words", i.cast("int") * STEP + 1, F.lit(BLOCK))), lambda m: F.struct(i.alias("block"), m["label"].alias("label"), m["overlap"].alias("overlap")))))
+        counted = F.filter(F.transform(starts, lambda s: F.struct(s.cast("long").alias("block"), common(s).alias("n"))), lambda m: m["n"] >= t["need"])
+        return F.transform(counted, lambda m: F.struct(m["block"].alias("block"), t["label"].alias("label"), (m["n"] / t["size"]).alias("overlap")))
+
+    # places are found once for all templates: they are an array of their own, and each template looks at its own among them
+    blocks = F.flatten(F.flatten(F.transform(F.array(rare_places), lambda places: F.transform(all_templates, lambda t: blocks_of(t, places)))))
     none = F.expr("cast(array() as array<struct<block: bigint, label: string, overlap: double>>)")
     base = F.array_compact(F.array(*labels))
     found = own.select(

@@ -495,3 +495,44 @@ def test_chat_digest_reads_the_mask(spark):
     assert got[-1].loss_sha256 == sha(rows[1][3]) and got[7].loss_chars == 300_003 and got[7].loss_sha256 == sha(rows[2][3])
     shifted = out.withColumn("loss_spans", F.transform("loss_spans", lambda s: F.struct(s.start, s.end, (s.start_byte - 1).alias("start_byte"), s.end_byte)))
     assert {r.conv_id: r.loss_sha256 for r in chat.digest(shifted).collect()}[-1] != sha(rows[1][3])
+
+
+def test_licenses_against_brute_force(spark):
+    """Labels and scores over all blocks, wherever they start; pieces of licences among other words."""
+    r = random.Random(12)
+    rows = []
+    for i in range(150):
+        own = licenses.TEMPLATES[r.choice(sorted(licenses.TEMPLATES))].split()
+        own = own[(a := r.randrange(len(own))) :] + own[:a] if r.random() < 0.2 else own
+        made = []
+        for w in own:
+            if r.random() < r.choice([0.0, 0.1, 0.3]):
+                w = r.choice(WORDS)
+            made += [w] + [r.choice(WORDS) for _ in range(r.choice([0, 0, 0, 1, 3]))]
+        rows.append((i, " ".join([r.choice(WORDS) for _ in range(r.randrange(90))] + made + [r.choice(WORDS) for _ in range(r.randrange(60))])))
+    rows += [(900, None), (901, ""), (902, prose(30000, 50) + " " + licenses.TEMPLATES["mit"])]
+    want = {}
+    for i, text in rows:
+        w = (text or "").split()
+        base = {lab for p, lab in licenses.PHRASES.items() if f" {p} " in f" {' '.join(w)} "}
+        best, labels = 0.0, set(base)
+        for label, own in licenses.TEMPLATES.items():
+            own, length = set(own.split()), max(licenses.LEAST, 2 * len(own.split()))
+            tokens = [x if x in own else None for x in w]
+            most = max((len(set(tokens[s : s + length]) - {None}) for s in range(len(w)) if tokens[s]), default=0)
+            if most >= 0.8 * len(own) - 1e-9:
+                labels.add(label)
+                best = max(best, most / len(own))
+        want[i] = (",".join(sorted(labels)), 1.0 if base else best)
+    got = {x.doc_id: (x.labels, x.score) for x in licenses.scan(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)).collect()}
+    assert got == want and len({v[0] for v in want.values()}) > 15
+
+
+def test_license_query(spark):
+    got = sorted(tuple(x) for x in queries.op7_licenses(spark, DATA).select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels").collect())
+    want = []
+    for i, t in texts(table(spark, DATA, "documents")):
+        w = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), t))
+        at = [(k, lab) for p, lab in licenses.PHRASES.items() for k in range(len(w)) if w[k : k + len(p.split())] == p.split()]
+        want.append((i, len(w), len(at), min((k for k, _ in at), default=None), max((k for k, _ in at), default=None), ",".join(sorted({x for _, x in at}))))
+    assert got == sorted(want)
