@@ -7,8 +7,8 @@ under its prefix, the size - ceil(size * percent / 100) + 1 rarest tokens. Two n
 if their sizes allow it (length), if enough tokens remain from the shared one onwards (position), and if their parity bitmaps
 differ in no more bits than similar sets can differ in tokens. In each token's list a node meets the HUBS nodes of the most
 lines (of a group of variants, those that most copies share); its candidate with the closest bitmap is verified on the lines
-themselves. A node whose closest candidate fails, or with a list of more than HUBS, then meets all earlier nodes of its
-lists. So a group of n variants of one line costs about HUBS * n candidates, and nothing is missed.
+themselves. The nodes that this does not settle then meet all earlier nodes of their lists, and every candidate is verified.
+So a group of n variants of one line costs about HUBS * n candidates, and nothing is missed.
 
 A line goes if an earlier line (by doc_id, then line number) has a similar set, whether or not that one goes as well.
 
@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from terrazzo.llm.common import drop, stash
 
-BUCKETS, HUBS = 1 << 20, 16
+BUCKETS, HUBS = 1 << 20, 8
 SPACE = " \t\r\f\v"
 NODE = ("h", "doc_id", "n")
 POINTER = (1 << 56) - 1
@@ -149,24 +149,25 @@ def similar_nodes(nodes: DataFrame, documents: DataFrame, percent: int) -> DataF
     """The nodes (h, doc_id, n) that have an earlier similar one, as a table."""
     listed = postings(nodes)
     rank = F.row_number().over(Window.partitionBy("tok").orderBy(F.desc("lines"), "doc_id", "n", "h")).alias("rank")
-    hubs = listed.select("*", rank).where(F.floor((F.col("rank") - 1) / (HUBS + 1)) == 0)  # one more shows a longer list
-    beyond = F.col("y.rank") > HUBS
-    same = F.coalesce("x.lines", "y.lines") > 0  # always so; with the same columns one exchange serves both sides
-    met = listed.alias("x").join(hubs.alias("y"), (F.col("x.tok") == F.col("y.tok")) & same & (beyond | candidate(percent)))
-    pointer = F.when(~beyond, F.shiftleft(differ().cast("long"), 56).bitwiseOR(F.shiftrightunsigned("y.h", 8)))
-    met = met.select(*(F.col(f"x.{c}") for c in NODE), pointer.alias("pointer"))
-    best = stash(met.groupBy(*NODE).agg(F.min("pointer").alias("least"), F.max("pointer").alias("most"), F.count(F.when(F.col("pointer").isNull(), 1)).alias("beyond")), "line-best")
-
-    closest = best.where("least is not null").select(*NODE, F.col("least").bitwiseAND(F.lit(POINTER)).alias("pointer"))
-    near = verified(closest, nodes, documents, percent)
-    unsettled = stash(without(best.where("beyond > 0 or least <> most").select(*NODE), near), "line-unsettled")
-    x = stash(postings(without(nodes, without(nodes, unsettled))), "line-unsettled")
-    flags = present(x, "tok")
-    rest = x.alias("x").join(listed.where(among(flags, "tok")).alias("y"), (F.col("x.tok") == F.col("y.tok")) & candidate(percent))
+    hubs = listed.select("*", rank).where(F.floor((F.col("rank") - 1) / HUBS) == 0)
+    # always true, and of both sides: they keep the same columns and filters, so one exchange serves both
+    both = F.coalesce("x.lines", "y.lines") > 0
+    met = listed.alias("x").join(hubs.alias("y"), (F.col("x.tok") == F.col("y.tok")) & both & candidate(percent))
+    pointer = F.shiftleft(differ().cast("long"), 56).bitwiseOR(F.shiftrightunsigned("y.h", 8)).alias("pointer")
+    best = met.select(*(F.col(f"x.{c}") for c in NODE), pointer).groupBy(*NODE).agg(F.min("pointer").bitwiseAND(F.lit(POINTER)).alias("pointer"))
+    best = stash(best, "line-best")
+    near = verified(best, nodes, documents, percent)
+
+    x, y = nodes.alias("x"), near.withColumn("settled", F.lit(True)).alias("y")
+    same = (F.col("x.h") == F.col("y.h")) & F.col("x.doc_id").eqNullSafe(F.col("y.doc_id")) & (F.col("x.n") == F.col("y.n"))
+    marked = stash(x.join(y, same, "left").select("x.*", F.coalesce("settled", F.lit(False)).alias("settled")), "line-marked")
+    listed = marked.select(*NODE, "size", "bits", "settled", F.posexplode("prefix").alias("pos", "tok"))
+    unsettled = ~F.coalesce("x.settled", "y.settled")  # x's, as it is never null; of both sides for the same reason
+    rest = listed.alias("x").join(listed.alias("y"), (F.col("x.tok") == F.col("y.tok")) & unsettled & candidate(percent))
     rest = stash(rest.select(*(F.col(f"x.{c}") for c in NODE), F.shiftrightunsigned("y.h", 8).alias("pointer")).distinct(), "line-rest")
     late = verified(rest, nodes, documents, percent)
     found = stash(near.unionByName(late), "line-similar")
-    drop(best, near, unsettled, x, flags, rest, late)
+    drop(best, near, marked, rest, late)
     return found
 
 
