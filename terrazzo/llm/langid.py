@@ -4,12 +4,15 @@ Each language has a context tree of byte n-grams up to ORDER bytes of context, c
 rows and then frozen. A symbol that a context has seen c times out of n, among d distinct ones, costs -log2(c / (n + d));
 an unseen one costs the escape -log2(d / (n + d)) and is coded by the next shorter context, down to a uniform order -1.
 (Method C, without exclusions.) As the statistics are frozen, the cost of a byte depends on the longest context that any
-language knows and on the byte alone, so all costs are tabulated once and whole texts are scored exactly by look-ups.
+language knows and on the byte alone. Costs are tabulated once, sparsely: a row of costs (one for each language) for each
+gram that any language has seen, a row of escapes for each context, and a number for each (context, byte) that says which
+row, or that the next shorter context decides. Whole texts are scored exactly by look-ups.
 
-Sample: the SAMPLE rows of each language that come first by hash of doc_id, among labelled rows of at most LARGEST bytes.
+Sample: the first LARGEST characters of the SAMPLE rows of each language that come first by hash of doc_id.
 
-Defined results: a null text, or one without any letter, is `und` with score 0; equal code lengths go to the language that
-sorts first; repeated rows give repeated rows; with no labelled row at all every text is `und`; extra columns are ignored.
+Defined results: a null text, or one without any letter, is `und` with score 0; a text of any length is scored whole; equal
+code lengths go to the language that sorts first; repeated rows give repeated rows; with no labelled row at all every text is
+`und`; extra columns pass through, but for lang_pred, score and bits_per_byte, which are replaced; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -29,10 +32,12 @@ UNKNOWN = "und"
 
 
 class Model:
-    """Costs of every known (context, byte), one column for each language.
+    """Costs of the grams that any language has seen, and escapes of their contexts; one column for each language.
 
     Bytes are folded to the classes that the sample holds, and one class for all others; class 0 is the start of a text.
-    A state is the longest known context, at most ORDER classes; `state_of` has it for each ORDER last classes.
+    A state is the longest known context, at most ORDER classes; `state_of` has it for each ORDER last classes, `shorter`
+    the state without its oldest class (-1 for the empty context), `slot` the row of costs for each state and class (-1 if
+    no language has seen them).
     """
 
     def __init__(self, sample: dict[str, list[bytes]], order: int = ORDER):
@@ -53,38 +58,59 @@ class Model:
                 codes = [self._codes(r, k)[order - k + 1 :] for r in rows]
                 own.append(np.unique(np.concatenate([*codes, np.zeros(0, np.int64)]), return_counts=True))
             grams.append(own)
-        contexts = [np.unique(np.concatenate([own[k][0] // size for own in grams])) for k in range(order + 1)]
-        uniform = np.log2(256.0)
-        cost = np.full((1, size, len(self.langs)), uniform)  # order -1: as many symbols as bytes
-        tables: list[np.ndarray] = []
+        union = [np.unique(np.concatenate([own[k][0] for own in grams])) for k in range(order + 1)]
+        contexts = [np.unique(u // size) for u in union]
+        begin = np.cumsum([0, *map(len, contexts)])
+        width = len(self.langs)
+        self.shorter = np.full(begin[-1], -1, np.int32)
+        self.slot = np.full(begin[-1] * size, -1, np.int32)
+        self.escape = np.zeros((begin[-1], width), np.float32)
+        self.cost = np.zeros((0, width), np.float32)
         for k in range(order + 1):
-            known = contexts[k]
-            # where the context without its oldest class stands in the table of order k - 1
-            shorter = np.zeros(len(known), np.int64) if k <= 1 else np.searchsorted(contexts[k - 1], known % size ** (k - 1))
-            if k > 1:
-                shorter = np.minimum(shorter, len(contexts[k - 1]) - 1)
-                assert (contexts[k - 1][shorter] == known % size ** (k - 1)).all()
-            below = cost[shorter] if k else np.repeat(cost, len(known), axis=0)
-            table = np.empty_like(below)
+            known, codes = contexts[k], union[k]
+            if k:
+                self.shorter[begin[k] : begin[k + 1]] = begin[k - 1] + np.searchsorted(contexts[k - 1], known % size ** (k - 1))
+            row = np.searchsorted(known, codes // size)
+            state = begin[k] + row
+            below = self.bits_of(self.shorter[state], codes % size)
+            cost = np.empty((len(codes), width), np.float32)
             for j, own in enumerate(grams):
-                codes, counts = own[k]
-                row = np.searchsorted(known, codes // size)
-                total = np.bincount(row, counts, minlength=len(known))
-                kinds = np.bincount(row, minlength=len(known))
+                mine, counts = own[k]
+                at = np.searchsorted(known, mine // size)
+                total, kinds = np.bincount(at, counts, minlength=len(known)), np.bincount(at, minlength=len(known))
                 met = total > 0
-                escape = np.where(met, -np.log2(np.where(met, kinds, 1) / np.where(met, total + kinds, 1)), 0.0)
-                table[:, :, j] = below[:, :, j] + escape[:, None]
-                table[row, codes % size, j] = -np.log2(counts / (total[row] + kinds[row]))
-            tables.append(table)
-            cost = table
-        offsets = np.cumsum([0, *map(len, contexts)])
-        self.cost = np.ascontiguousarray(np.concatenate(tables).reshape(-1, len(self.langs)).astype(np.float32))
+                out = np.where(met, -np.log2(np.where(met, kinds, 1) / np.where(met, total + kinds, 1)), 0.0)
+                self.escape[begin[k] : begin[k + 1], j] = out
+                cost[:, j] = below[:, j] + out[row]
+                cost[np.searchsorted(codes, mine), j] = -np.log2(counts / (total[at] + kinds[at]))
+            self.slot[state * size + codes % size] = len(self.cost) + np.arange(len(codes))
+            self.cost = np.concatenate([self.cost, cost])
         state = np.zeros(1, np.int64)
         for k in range(1, order + 1):  # index: the last k classes, oldest first
             state = np.tile(state, size)
-            state[contexts[k]] = offsets[k] + np.arange(len(contexts[k]))
+            state[contexts[k]] = begin[k] + np.arange(len(contexts[k]))
         self.state_of = state.astype(np.int32)
 
+    def bits_of(self, state: np.ndarray, classes: np.ndarray) -> np.ndarray:
+        """Costs of classes in their states, under each language; state -1 codes as many symbols as there are bytes."""
+        if not len(self.cost):
+            return np.full((len(state), len(self.langs)), np.log2(256.0), np.float32)
+        slot = self.slot[np.maximum(0, state).astype(np.int64) * self.size + classes]
+        slot[state < 0] = -1
+        bits = self.cost.take(np.maximum(slot, 0), axis=0)
+        left = np.flatnonzero(slot < 0)
+        bits[left] = 0
+        while len(left):
+            now, own = state[left], classes[left]
+            bits[left[now < 0]] += np.float32(np.log2(256.0))
+            left, now, own = left[now >= 0], now[now >= 0], own[now >= 0]
+            slot = self.slot[now.astype(np.int64) * self.size + own]
+            bits[left] += np.where(slot[:, None] >= 0, self.cost.take(np.maximum(slot, 0), axis=0), self.escape[now])
+            left, now = left[slot < 0], now[slot < 0]
+            state = state.copy() if len(left) else state
+            state[left] = self.shorter[now]
+        return bits
+
     def _codes(self, classes: np.ndarray, k: int) -> np.ndarray:
         """Each position's last k classes as one number; the first k - 1 positions lack them and are left out."""
         out = np.zeros(len(classes) - k + 1, np.int64)
@@ -110,13 +136,12 @@ class Model:
             for i in range(pad):
                 context *= self.size
                 context += classes[i : i + n]
-            cell = self.state_of[context].astype(np.int64) * self.size + classes[pad:]
-            cell = cell[real[pad:]]
+            state, classes = self.state_of[context][real[pad:]], classes[pad:][real[pad:]]
             lens = np.diff(offsets[a : b + 1])
             full = lens > 0
-            if len(cell):
+            if len(state):
                 first = (offsets[a:b] - lo)[full]
-                bits = self.cost.take(cell, axis=0)
+                bits = self.bits_of(state, classes)
                 for j in range(len(self.langs)):
                     out[a:b, j][full] = np.add.reduceat(bits[:, j], first, dtype=np.float64)
         return out
@@ -129,9 +154,9 @@ def letters(column: pa.Array) -> np.ndarray:
 
 def fit(documents: DataFrame, labelled: Column, per_language: int = SAMPLE, largest: int = LARGEST) -> Model | None:
     """The model of the bounded sample that the module's description names; None without labelled rows."""
-    rows = documents.where(labelled & F.col("lang").isNotNull() & F.col("text").isNotNull() & (F.octet_length("text") <= largest) & (F.octet_length("text") > 0))
+    rows = documents.where(labelled & F.col("lang").isNotNull() & (F.octet_length("text") > 0))
     order = Window.partitionBy("lang").orderBy("h", "doc_id", "text")
-    picked = rows.select("lang", "doc_id", "text", F.xxhash64("doc_id").alias("h")).withColumn("n", F.row_number().over(order)).where(F.col("n") <= per_language)
+    picked = rows.select("lang", "doc_id", F.substring("text", 1, largest).alias("text"), F.xxhash64("doc_id").alias("h")).withColumn("n", F.row_number().over(order)).where(F.col("n") <= per_language)
     sample: dict[str, list[bytes]] = {}
     for row in picked.select("lang", "text").toLocalIterator():
         sample.setdefault(row.lang, []).append(row.text.encode())
