@@ -2,6 +2,11 @@
 
 Every stage but the last returns the columns of `documents`. Where a stage changes a text, n_chars follows it; a document
 of which line dedup leaves nothing goes.
+
+Defined results: a null or empty text, as any without a letter, is rejected by language ID; a text of any length is worked
+on whole; rows that repeat a document are one document for near-dedup by doc_id, so a repeated doc_id keeps or loses all of
+its rows, and rows of a null doc_id link with nothing and leak nothing; of similar lines and documents the one of the smallest
+doc_id stays; extra columns pass through the first four stages unchanged, whatever their names; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -19,15 +24,21 @@ from terrazzo.llm.common import stash, table
 MOST_BITS = 7.0
 
 
+def whole(docs: DataFrame, *used: str) -> DataFrame:
+    """The columns that an operator uses, and the row as it is; so nothing of it can clash with the operator's own columns."""
+    return docs.select(*used, F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("whole"))
+
+
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejects texts without a letter, and those that no language explains better than nearly random bytes."""
-    found = langid.identify(docs, langid.fit(docs, ~langid.held_out()))
-    return found.where((F.col("lang_pred") != langid.UNKNOWN) & (F.col("bits_per_byte") <= MOST_BITS)).select(*docs.columns)
+    found = langid.identify(whole(docs, "text"), langid.fit(docs, ~langid.held_out()))
+    return found.where((F.col("lang_pred") != langid.UNKNOWN) & (F.col("bits_per_byte") <= MOST_BITS)).select("whole.*")
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    done = linededup.dedup_lines(docs).where("n_removed = 0 or n_removed < n_lines")
-    return done.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
+    done = linededup.dedup_lines(whole(docs, "doc_id", "text")).where("n_removed = 0 or n_removed < n_lines")
+    changed = {"text": F.col("text"), "n_chars": F.length("text").cast(docs.schema["n_chars"].dataType)}
+    return done.select(*(changed.get(c, F.col("whole").getField(c)).alias(c) for c in docs.columns))
 
 
 def dedup_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
