@@ -2,19 +2,22 @@
 
 Each partition splits its whole texts with the pre-tokenizer pattern and gives the distinct new words of a batch to one
 recursive query: a row per (word, position, token) joins the merge table, the leftmost minimum-rank pair of every word is
-contracted, until no pair is in the table. A word of more than LONG bytes is encoded in windows that begin at a token
-boundary of the window before; two windows are joined only where the two tokens that meet stay two tokens when their
-bytes are encoded alone, which is the condition under which a concatenation of encodings is the encoding. Decoding joins
-(document, position, id) with the vocabulary and aggregates in order.
-
-Defined results: a null text is empty (no ids, the digests of nothing); repeated rows give repeated rows; a null doc_id
-stays null; extra columns are ignored; an empty table gives no rows.
+contracted, until no pair is in the table. A word of more than LONG bytes is encoded in overlapping windows, all in one
+query; two windows are joined at a token boundary that both have, where the two tokens that meet stay two tokens when their
+bytes are encoded alone, which is the condition under which a concatenation of encodings is the encoding. A word whose
+windows have no such boundary is encoded window after window, each begun at a boundary of the one before. Decoding joins
+(document, position, id) with the vocabulary and aggregates by position.
+
+Defined results: a null text is empty (no ids, the digests of nothing); a text or word of any length is encoded whole;
+repeated rows give repeated rows; a null doc_id stays null; extra columns are ignored; an empty table gives no rows.
 """
 
 from __future__ import annotations
 
 import base64
 import hashlib
+import os
+import tempfile
 from collections.abc import Iterator
 
 import duckdb
@@ -23,8 +26,10 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
+from terrazzo.llm.common import give_back
+
 #: Bytes of a long word and of its windows' overlap; words that a worker remembers; characters handled at once.
-LONG, OVERLAP, CACHED, CHUNK = 400, 64, 800_000, 4 << 20
+LONG, OVERLAP, CACHED, CHUNK = 512, 128, 300_000, 2 << 20
 
 #: A row holds its token, the next row's token and position; a word whose rows find no merge is finished.
 CONTRACT = """
@@ -54,12 +59,7 @@ select word, tok from walk where step < 0 order by word, pos
 """
 
 
-#: The sort feeds the aggregate in order: the connection has one thread and keeps order.
-DECODE = """
-select doc, string_agg(chars, '') as chars
-from (select doc, chars from coded join vocabulary using (id) order by pos)
-group by doc
-"""
+DECODE = "select doc, string_agg(chars, '' order by pos) as chars from coded join vocabulary using (id) group by doc"
 
 
 class Coder:
@@ -69,7 +69,8 @@ class Coder:
         with open(path, "rb") as f:
             self.ranks = {base64.b64decode(a): int(b) for a, b in (line.split() for line in f if line.strip())}
         self.split = regex.compile(pattern).findall
-        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "400MB"})
+        # spills go to the task's own temporary folder
+        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "400MB", "temp_directory": f"{tempfile.gettempdir()}/duckdb-{os.getpid()}"})
         ranks = self.ranks
         found = [(ranks[t[:i]], ranks[t[i:]], r) for t, r in ranks.items() for i in range(1, len(t)) if t[:i] in ranks and t[i:] in ranks]
         a, b, merged = (pa.array(x, pa.int32()) for x in zip(*found, strict=True))
@@ -105,6 +106,26 @@ class Coder:
         ids, counts = self.contract(words)
         return [x.tolist() for x in np.split(ids, np.cumsum(counts)[:-1])] if words else []
 
+    def encode_windows(self, word: bytes) -> list[int] | None:
+        """All windows at once, joined where the tokens that meet are their own encoding; None where two have no such place."""
+        begins = range(0, max(1, len(word) - OVERLAP), LONG - OVERLAP)
+        pieces = self.contracted([word[s : s + LONG] for s in begins])
+        bounds = [dict(zip((s + np.cumsum([len(self.bytes_of[t]) for t in p])).tolist(), range(1, len(p) + 1), strict=True)) for s, p in zip(begins, pieces, strict=True)]
+        meets: list[list[tuple[int, bytes, bytes]]] = []  # for each two windows: the places, and the tokens around each
+        for (x, y), (bx, by) in zip(zip(pieces, pieces[1:], strict=False), zip(bounds, bounds[1:], strict=False), strict=True):
+            last = max(by)
+            meets.append([(at, self.bytes_of[x[bx[at] - 1]], self.bytes_of[y[by[at]]]) for at in sorted(bx.keys() & by.keys()) if at < last])
+        pairs = sorted({a + b for own in meets for _, a, b in own})
+        alone = dict(zip(pairs, map(len, self.contracted(pairs)), strict=True))
+        done, start = [], 0
+        for k, own in enumerate(meets):
+            sound = [at for at, a, b in own if at > start and alone[a + b] == 2]
+            if not sound:
+                return None
+            done += pieces[k][bounds[k].get(start, 0) : bounds[k][sound[0]]]
+            start = sound[0]
+        return done + pieces[-1][bounds[-1].get(start, 0) :]
+
     def encode_long(self, word: bytes) -> list[int]:
         """Window after window, each begun at a token boundary; see the module's description."""
         done: list[int] = []
@@ -138,7 +159,7 @@ class Coder:
         long = [i for i, w in enumerate(coded) if len(w) > LONG]
         ids, counts = self.contract([coded[i] for i in short]) if short else (np.zeros(0, np.int32), np.zeros(0, np.int64))
         for i in long:
-            own = self.encode_long(coded[i])
+            own = self.encode_windows(coded[i]) or self.encode_long(coded[i])
             ids, counts = np.append(ids, np.array(own, np.int32)), np.append(counts, len(own))
         known = len(self.number)
         used = int(self.ends[known - 1]) if known else 0
@@ -219,6 +240,7 @@ def encode_documents(documents: DataFrame, path: str, pattern: str, keep_ids: bo
                 ]
                 yield pa.RecordBatch.from_arrays(columns, ["doc_id", *["ids"] * keep_ids, "n_tokens", "ids_sha256", "decoded_sha256", "round_trip"])
                 a = b
+        give_back()
 
     kind = documents.schema["doc_id"].dataType.simpleString()
     ids = "ids array<int>, " if keep_ids else ""

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import hashlib
 import tempfile
 import threading
 import uuid
 from collections.abc import Iterator
-from contextlib import contextmanager
+from contextlib import contextmanager, suppress
 
 import numpy as np
 import pyarrow as pa
@@ -80,6 +82,14 @@ def clean(spark: SparkSession) -> None:
     _delete(spark, shared_dir(spark))
 
 
+def give_back() -> None:
+    """At the end of a task: what it has freed goes back to the system, as the worker lives on beside other stages."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with suppress(OSError, AttributeError):  # other C libraries have no such call
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes and offsets of a text column; a null row is empty."""
     if isinstance(column, pa.ChunkedArray):

@@ -25,7 +25,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from terrazzo.llm.common import blocks, utf8
+from terrazzo.llm.common import blocks, give_back, utf8
 
 ORDER, SAMPLE, LARGEST = 3, 300, 64 << 10
 UNKNOWN = "und"
@@ -186,6 +186,7 @@ def identify(documents: DataFrame, model: Model | None) -> DataFrame:
                 pred = np.where(known, np.array(m.langs, object)[best], UNKNOWN)
                 score, rate = np.where(known, post, 0.0), np.where(known, least / lens, np.nan)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(pred, pa.string()), pa.array(score), pa.array(rate, mask=~known | (m is None))], [*batch.schema.names, "lang_pred", "score", "bits_per_byte"])
+        give_back()
 
     plain = documents.drop("lang_pred", "score", "bits_per_byte")
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in plain.schema.fields)

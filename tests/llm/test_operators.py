@@ -584,3 +584,28 @@ def test_license_query(spark):
         at = [(k, lab) for p, lab in licenses.PHRASES.items() for k in range(len(w)) if w[k : k + len(p.split())] == p.split()]
         want.append((i, len(w), len(at), min((k for k, _ in at), default=None), max((k for k, _ in at), default=None), ",".join(sorted({x for _, x in at}))))
     assert got == sorted(want)
+
+
+def test_bpe_of_long_words():
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(path, "rb"))}
+    want = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    r = random.Random(2)
+    texts = ["a" * 5000, "ab" * 3000, "中文字" * 900, "".join(r.choice("abcdefgh") for _ in range(20_000)), "".join(r.choice("ACGT") for _ in range(9000)), "=" * 3000, "the" * 2000, "".join(chr(r.randrange(0x4E00, 0x9FFF)) for _ in range(3000)), "x" * 511, "x" * 513]
+    coder = bpe.Coder(path, public_tokenizers.PATTERN)
+    ids, _ = coder.encode(texts)
+    assert [x.tolist() for x in ids] == [want.encode_ordinary(t) for t in texts]
+    assert coder.decode(ids) == [t.encode() for t in texts]
+    began = time.process_time()
+    coder.encode(["".join(r.choice("abcdefgh") for _ in range(100_000))])
+    print(f"op5: a word of 100,000 letters in {time.process_time() - began:.1f} s")
+
+
+def test_bpe_query(spark):
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(path, "rb"))}
+    want = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    own = dict(texts(table(spark, DATA, "documents")))
+    for r in queries.op5_bpe(spark, DATA).collect():
+        ids = want.encode_ordinary(own[r.doc_id])
+        assert (r.n_tokens, r.ids_sha256, r.decoded_sha256) == (len(ids), sha(" ".join(map(str, ids))), sha(own[r.doc_id]))
