@@ -14,7 +14,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from terrazzo.llm import bpe, decontaminate, langid, linededup, neardup
@@ -22,23 +22,28 @@ from terrazzo.llm.common import stash, table
 
 #: A text that costs more bits a byte than this under its best language is in none of them.
 MOST_BITS = 7.0
+USED = ("doc_id", "text")
 
 
-def whole(docs: DataFrame, *used: str) -> DataFrame:
-    """The columns that an operator uses, and the row as it is; so nothing of it can clash with the operator's own columns."""
-    return docs.select(*used, F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("whole"))
+def apart(docs: DataFrame, *used: str) -> DataFrame:
+    """The columns that an operator uses, and all others as one; so none of them can clash with the operator's own columns."""
+    return docs.select(*used, F.struct(*(F.col(f"`{c}`") for c in docs.columns if c not in used)).alias("others"))
+
+
+def together(found: DataFrame, docs: DataFrame, **changed: Column) -> DataFrame:
+    """The columns of docs again, from found or as changed."""
+    return found.select(*((changed[c] if c in changed else F.col("others").getField(c) if c not in USED else F.col(c)).alias(c) for c in docs.columns))
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejects texts without a letter, and those that no language explains better than nearly random bytes."""
-    found = langid.identify(whole(docs, "text"), langid.fit(docs, ~langid.held_out()))
-    return found.where((F.col("lang_pred") != langid.UNKNOWN) & (F.col("bits_per_byte") <= MOST_BITS)).select("whole.*")
+    found = langid.identify(apart(docs, *USED), langid.fit(docs, ~langid.held_out()))
+    return together(found.where((F.col("lang_pred") != langid.UNKNOWN) & (F.col("bits_per_byte") <= MOST_BITS)), docs)
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    done = linededup.dedup_lines(whole(docs, "doc_id", "text")).where("n_removed = 0 or n_removed < n_lines")
-    changed = {"text": F.col("text"), "n_chars": F.length("text").cast(docs.schema["n_chars"].dataType)}
-    return done.select(*(changed.get(c, F.col("whole").getField(c)).alias(c) for c in docs.columns))
+    done = linededup.dedup_lines(apart(docs, *USED)).where("n_removed = 0 or n_removed < n_lines")
+    return together(done, docs, n_chars=F.length("text").cast(docs.schema["n_chars"].dataType))
 
 
 def dedup_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
