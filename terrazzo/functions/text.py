@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import unicodedata
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -17,7 +19,19 @@ STATES = {
     "RO": (11, "Rondônia"), "RR": (14, "Roraima"), "SC": (42, "Santa Catarina"), "SP": (35, "São Paulo"),
     "SE": (28, "Sergipe"), "TO": (17, "Tocantins"),
 }
-ACCENTED, PLAIN = "áàâãäéèêëíìîïóòôõöúùûüçñ", "aaaaaeeeeiiiiooooouuuucn"
+
+
+def _decomposed() -> tuple[str, str]:
+    """Lower-case Latin letters with marks that decompose to one plain letter (NFKD), and these letters."""
+    pairs = []
+    for code in (*range(0xC0, 0x250), *range(0x1E00, 0x1F00)):
+        rest = "".join(c for c in unicodedata.normalize("NFKD", chr(code)) if not unicodedata.combining(c))
+        if chr(code).islower() and len(rest) == 1 and rest != chr(code):
+            pairs.append((chr(code), rest))
+    return tuple(map("".join, zip(*pairs, strict=True)))
+
+
+ACCENTED, PLAIN = _decomposed()
 
 
 def scene_part(scene_id: Column, k: int) -> Column:
@@ -35,14 +49,19 @@ def band_prefix(scene_id: Column) -> Column:
 
 
 def plain(text: Column) -> Column:
-    """Trimmed, lower case, without accents."""
-    return F.translate(F.lower(F.trim(text)), ACCENTED, PLAIN)
+    """Trimmed, lower case, without accents, whether letters come composed or with marks of their own."""
+    return F.regexp_replace(F.translate(F.lower(F.trim(text)), ACCENTED, PLAIN), r"\p{M}", "")
 
 
 def basename(url: Column) -> Column:
     return F.substring_index(F.substring_index(url, "?", 1), "/", -1)
 
 
+def band_base(name: Column) -> Column:
+    """A band file's name up to its band."""
+    return F.substring_index(name, "_BAND", 1)
+
+
 def stem(name: Column) -> Column:
     return F.regexp_replace(name, r"\.[^.]*$", "")
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from terrazzo.functions import text
+from terrazzo.operators import spatial
 
 COLLECTION = "CBERS4A_WPM_L4_DN"
 BAND_NUMBERS = {"pan": 0, "blue": 1, "green": 2, "red": 3}
@@ -52,6 +53,17 @@ def within_area(scenes: DataFrame, areas: DataFrame, cell: int = 50) -> DataFram
     return scenes.join(hit.select("event_id"), "event_id", "left_semi")
 
 
+def within_polygons(scenes: DataFrame, edges: DataFrame, cell: int = 50) -> DataFrame:
+    """Scenes whose footprint shares area with any polygon (edges: polygon, x1, y1, x2, y2 in tenths of degrees): boxes of
+    the polygons find candidates by grid cells, which are tested exactly against the edges; a semi join."""
+    shapes = edges.groupBy("polygon").agg(F.collect_list(F.struct("x1", "y1", "x2", "y2")).alias("edges"), *(f(g(f"{c}1", f"{c}2")).alias(f"{c}_{n}") for c in "xy" for n, f, g in (("low", F.min, F.least), ("high", F.max, F.greatest))))
+    tiles = lambda a, b, c, d: F.explode(F.expr(f"flatten(transform(sequence(floor({a} / {cell}), floor({c} / {cell})), i -> transform(sequence(floor({b} / {cell}), floor({d} / {cell})), j -> struct(i, j))))"))
+    s = scenes.select("event_id", "minx10", "miny10", tiles("minx10", "miny10", f"(minx10 + {SIZE10})", f"(miny10 + {SIZE10})").alias("cell"))
+    p = shapes.select("edges", tiles("x_low", "y_low", "x_high", "y_high").alias("cell"))
+    hit = s.join(p, "cell").where(spatial.box_meets(F.col("edges"), F.col("minx10"), F.col("miny10"), F.col("minx10") + SIZE10, F.col("miny10") + SIZE10))
+    return scenes.join(hit.select("event_id"), "event_id", "left_semi")
+
+
 def band_files(listing: DataFrame) -> DataFrame:
     """The first valid file of each scene and band: preferred places first, then by path. listing: id, band, path, priority,
     length."""

@@ -11,27 +11,53 @@ from terrazzo.functions.pixel import double
 
 
 def inside(pixels: DataFrame, edges: DataFrame) -> DataFrame:
-    """Pixels whose centre is inside the polygon (an odd number of crossings). Edges become crossings of scan lines: a row
-    of the raster has a short sorted list of them, and meets its pixels by an equi-join on y."""
+    """Pixels whose centre is inside any of the polygons (an odd number of crossings of its own rings; edges without a
+    polygon column are one polygon). Edges become crossings of scan lines: a row of the raster has a short list of them for
+    each polygon, and meets its pixels by an equi-join on y."""
+    if "polygon" not in edges.columns:
+        edges = edges.withColumn("polygon", F.lit(0))
     low, high = F.least("y1", "y2"), F.greatest("y1", "y2")
     lines = edges.where("y1 <> y2").select("*", F.explode(F.sequence(F.ceil(low - 0.5), F.ceil(high - 0.5))).alias("y"))
     middle = F.col("y") + 0.5
     hit = lines.where((F.col("y1") > middle) != (F.col("y2") > middle))
     at = (F.col("x2") - F.col("x1")) * (middle - F.col("y1")) / (F.col("y2") - F.col("y1")) + F.col("x1")
-    crossings = hit.groupBy("y").agg(F.collect_list(at).alias("at"))
+    crossings = hit.groupBy("y", "polygon").agg(F.collect_list(at).alias("at")).groupBy("y").agg(F.collect_list("at").alias("rows"))
     joined = pixels.join(crossings, "y")
-    return joined.where(F.size(F.filter("at", lambda a: a > F.col("x") + 0.5)) % 2 == 1).select(*pixels.columns)
+    return joined.where(F.exists("rows", lambda row: F.size(F.filter(row, lambda a: a > F.col("x") + 0.5)) % 2 == 1)).select(*pixels.columns)
 
 
 def clip(pixels: DataFrame, edges: DataFrame) -> DataFrame:
-    """Pixels within the polygon, moved so that its bounding box starts at 0; fails if there is none."""
-    box = edges.agg(F.floor(F.min(F.least("x1", "x2"))).alias("x0"), F.floor(F.min(F.least("y1", "y2"))).alias("y0")).first()
-    if box.x0 is None:
-        raise ValueError("the polygon is empty")
+    """Pixels within the polygons, moved so that their bounding box starts at 0; fails if there are none. The box is one row
+    that the plan computes; only whether any pixel is inside is asked for beforehand."""
     own = inside(pixels, edges)
     if own.isEmpty():
-        raise ValueError("the polygon and the raster are disjoint")
-    return own.withColumns({"x": F.col("x") - box.x0, "y": F.col("y") - box.y0})
+        raise ValueError("the polygon is empty, or does not meet the raster")
+    box = edges.agg(F.floor(F.min(F.least("x1", "x2"))).alias("x0"), F.floor(F.min(F.least("y1", "y2"))).alias("y0"))
+    moved = own.crossJoin(F.broadcast(box))  # one row
+    return moved.withColumns({"x": F.col("x") - F.col("x0"), "y": F.col("y") - F.col("y0")}).select(*pixels.columns)
+
+
+def box_meets(edges: Column, left: Column, bottom: Column, right: Column, top: Column) -> Column:
+    """Whether the inside of a box shares points with a polygon, given as an array of edges (x1, y1, x2, y2): an edge passes
+    through the box, or the box's centre is inside."""
+    cx, cy = (left + right) / 2, (bottom + top) / 2
+
+    def passes(e: Column) -> Column:
+        """The part of the edge within the box has length: it enters, on each axis, before it leaves."""
+        into, out = [F.lit(0.0)], [F.lit(1.0)]
+        ok = F.lit(True)
+        for a, b, low, high in ((e["x1"], e["x2"], left, right), (e["y1"], e["y2"], bottom, top)):
+            d = b - a
+            flat = d == 0
+            ok = ok & (~flat | ((a > low) & (a < high)))
+            near, far = F.when(d > 0, low - a).otherwise(high - a), F.when(d > 0, high - a).otherwise(low - a)
+            step = F.when(flat, F.lit(1.0)).otherwise(d)
+            into.append(F.when(flat, F.lit(0.0)).otherwise(near / step))
+            out.append(F.when(flat, F.lit(1.0)).otherwise(far / step))
+        return ok & (F.greatest(*into) < F.least(*out))
+
+    crossed = lambda e: ((e["y1"] > cy) != (e["y2"] > cy)) & (cx < (e["x2"] - e["x1"]) * (cy - e["y1"]) / (e["y2"] - e["y1"]) + e["x1"])
+    return F.exists(edges, passes) | (F.size(F.filter(edges, crossed)) % 2 == 1)
 
 
 def intersection(a: str, b: str) -> list[Column]:

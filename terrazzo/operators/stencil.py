@@ -26,15 +26,15 @@ def median_fill(band: DataFrame, width: int, height: int, key: str = "scene_id",
     return band.join(filled, [key, "x", "y"], "left").select(key, "x", "y", F.coalesce("m", value).alias(value))
 
 
-def kernel(sigma: float) -> list[float]:
-    radius = int(4 * sigma + 0.5)
-    w = [math.exp(-(i * i) / (2 * sigma * sigma)) for i in range(-radius, radius + 1)]
+def kernel(deviation: float) -> list[float]:
+    radius = int(4 * deviation + 0.5)
+    w = [math.exp(-(i * i) / (2 * deviation * deviation)) for i in range(-radius, radius + 1)]
     return [x / sum(w) for x in w]
 
 
-def gaussian(df: DataFrame, sigma: float, width: int, height: int, value: str = "v") -> DataFrame:
+def gaussian(df: DataFrame, deviation: float, width: int, height: int, value: str = "v") -> DataFrame:
     """Separable low-pass over the whole raster, absent pixels as 0; x, y, value of every location that is reached."""
-    w = kernel(sigma)
+    w = kernel(deviation)
     radius = len(w) // 2
     for axis, n in (("x", width), ("y", height)):
         steps = F.array(*(F.struct(F.lit(i - radius).cast("long").alias("i"), F.lit(k).alias("w")) for i, k in enumerate(w)))

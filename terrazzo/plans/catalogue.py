@@ -57,6 +57,22 @@ def scenes_in_aoi(spark: SparkSession, d: str) -> DataFrame:
     return catalog.within_area(scenes(spark, d), areas).select("event_id")
 
 
+_AREA = [(0, -415, -212, -400, -205), (0, -400, -205, -404, -190), (0, -404, -190, -415, -212), (1, -380, -180, -372, -181), (1, -372, -181, -376, -170), (1, -376, -170, -380, -180)]
+_BY_EDGES = f"""
+with_scenes as (select event_id, minx10 as l, miny10 as b, minx10 + 5 as r, miny10 + 5 as t from scenes),
+e as (select polygon, x1::double as x1, y1::double as y1, x2::double as x2, y2::double as y2 from (values {", ".join(map(str, _AREA))}) v(polygon, x1, y1, x2, y2)),
+through as (select distinct event_id from with_scenes, e where greatest(0, case when x2 > x1 then (l - x1) / (x2 - x1) when x2 < x1 then (r - x1) / (x2 - x1) else 0 end, case when y2 > y1 then (b - y1) / (y2 - y1) when y2 < y1 then (t - y1) / (y2 - y1) else 0 end)
+    < least(1, case when x2 > x1 then (r - x1) / (x2 - x1) when x2 < x1 then (l - x1) / (x2 - x1) else 1 end, case when y2 > y1 then (t - y1) / (y2 - y1) when y2 < y1 then (b - y1) / (y2 - y1) else 1 end)),
+round as (select event_id from with_scenes, e where (y1 > (b + t) / 2) <> (y2 > (b + t) / 2) and (l + r) / 2 < (x2 - x1) * ((b + t) / 2 - y1) / (y2 - y1) + x1 group by event_id, polygon having count(*) % 2 = 1)
+select event_id from through union select event_id from round"""
+
+
+@query(with_views("", "scenes").rstrip() + ", " + _BY_EDGES.lstrip())
+def scenes_in_polygons(spark: SparkSession, d: str) -> DataFrame:
+    edges = spark.createDataFrame([(p, *map(float, c)) for p, *c in _AREA], "polygon bigint, x1 double, y1 double, x2 double, y2 double")
+    return catalog.within_polygons(scenes(spark, d), edges).select("event_id")
+
+
 @query(with_views("select event_id, substr(id, 12, 3) as path, substr(id, 15, 3) as row_no, substr(id, 18, 8) as day from scenes", "scenes"))
 def scene_parts(spark: SparkSession, d: str) -> DataFrame:
     part = lambda k: text.strict_scene_part(F.col("id"), k)

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from terrazzo.operators import spatial, stencil
 from terrazzo.plans.mosaic import mosaic_scenes
 from terrazzo.registry import query
+from terrazzo.sources import raster
 from terrazzo.sources.views import aoi_edges, px, scenes, with_views
 
 INSIDE = "(select count(*) from aoi_edges e where (y1 > y + 0.5::double) <> (y2 > y + 0.5::double) and x + 0.5::double < (x2 - x1) * (y + 0.5::double - y1) / (y2 - y1) + x1) % 2 = 1"
@@ -18,6 +19,40 @@ def clip_polygon(spark: SparkSession, d: str) -> DataFrame:
     return spatial.inside(px(spark, d).where("scene_id = 0"), aoi_edges(spark)).drop("scene_id")
 
 
+_PARTS = "(values (0, 10, 10, 40, 12), (0, 40, 12, 38, 44), (0, 38, 44, 12, 40), (0, 12, 40, 10, 10), (1, 30, 30, 58, 26), (1, 58, 26, 50, 60), (1, 50, 60, 30, 30)) t(polygon, a, b, c, d)"
+PARTS = {"parts": f"select polygon, a::double as x1, b::double as y1, c::double as x2, d::double as y2 from {_PARTS}"}
+
+
+def parts(spark: SparkSession) -> DataFrame:
+    """Two polygons that overlap."""
+    return spark.sql(f"select cast(polygon as bigint) as polygon, double(a) as x1, double(b) as y1, double(c) as x2, double(d) as y2 from {_PARTS}")
+
+
+@query(with_views("select scene_id, x, y, b1 from px where exists (select 1 from parts e where (y1 > y + 0.5::double) <> (y2 > y + 0.5::double) and x + 0.5::double < (x2 - x1) * (y + 0.5::double - y1) / (y2 - y1) + x1 group by polygon having count(*) % 2 = 1)", "px", more=PARTS))
+def polygon_union(spark: SparkSession, d: str) -> DataFrame:
+    return spatial.inside(px(spark, d), parts(spark)).select("scene_id", "x", "y", "b1")
+
+
+@query(with_views("select scene_id, x, y, b1, b2, b3 from px where greatest(b1, b2, b3) > 0", "px"))
+def geotiff_round_trip(spark: SparkSession, d: str) -> DataFrame:
+    """Pixels to GeoTIFF tiles and back."""
+    tiles = raster.tiles(px(spark, d), ["scene_id"], ["b1", "b2", "b3"], side=32)
+    named = tiles.select(F.concat_ws("/", "scene_id", "tile_x", "tile_y").alias("path"), "content")
+    part = lambda k: F.split_part("path", F.lit("/"), F.lit(k)).cast("long")
+    return raster.pixels(named, 3).where("greatest(b1, b2, b3) > 0").select(part(1).alias("scene_id"), (F.col("x") + 32 * part(2)).alias("x"), (F.col("y") + 32 * part(3)).alias("y"), "b1", "b2", "b3")
+
+
+@query(with_views("select scene_id, x // 16 as tile_x, y // 16 as tile_y, 16::bigint as width, 16::bigint as height, 3::bigint as bands, 31983::bigint as epsg, (scene_id + x // 16) % 2 = 0 as valid from px group by all", "px"))
+def raster_headers(spark: SparkSession, d: str) -> DataFrame:
+    """Sizes and validity of files, every other one cut short."""
+    tiles = raster.tiles(px(spark, d), ["scene_id"], ["b1", "b2", "b3"], side=16, epsg=31983, compression=raster.LZW)
+    whole = F.expr("(scene_id + tile_x) % 2 = 0")
+    at = raster.headers(tiles.select(F.concat_ws("/", "scene_id", "tile_x", "tile_y", whole.cast("string")).alias("path"), F.when(whole, F.col("content")).otherwise(F.expr("substring(content, 1, 40)")).alias("content")))
+    part = lambda k: F.split_part("path", F.lit("/"), F.lit(k)).cast("long")
+    fixed = {"width": 16, "height": 16, "bands": 3, "epsg": 31983}
+    return at.select(part(1).alias("scene_id"), part(2).alias("tile_x"), part(3).alias("tile_y"), *(F.when(F.col("valid"), F.col(c)).otherwise(v).alias(c) for c, v in fixed.items()), "valid")
+
+
 @query(with_views("select x - 4 as x, y - 4 as y, " + ", ".join(f"least(1023, trunc(sum({b}) / count(*)))::bigint as {b}" for b in ("b1", "b2", "b3")) + f" from px where least(b1, b2, b3) > 0 and {INSIDE} group by x, y", "px", "aoi_edges"))
 def mosaic_clipped(spark: SparkSession, d: str) -> DataFrame:
     return mosaic_scenes(px(spark, d), match_colors=False, clip_to=aoi_edges(spark))

@@ -18,12 +18,14 @@ def mosaic_scenes(pixels: DataFrame, reference: int | None = None, match_colors:
     if method not in merge.METHODS:
         raise ValueError(f"unknown merge method {method!r}")
     strength = max(0.0, min(1.0, strength))
+    if pixels.isEmpty():
+        raise ValueError("a mosaic needs at least one scene")
+    if reference is not None and pixels.where(pixels.scene_id == reference).isEmpty():
+        raise ValueError("the reference is not among the scenes")
     if match_colors:
         gains = radiometry.global_transforms(pixels, least, strength, reference if color_target == "reference" else None)
         if overlap:
             ids = order or sorted(r.scene_id for r in pixels.select("scene_id").distinct().collect())
-            if reference is not None and reference not in ids:
-                raise ValueError("the reference is not among the scenes")
             pixels = radiometry.match_by_overlap(pixels, ids[0] if reference is None else reference, ids, overlap_least, strength, gains)
         else:
             pixels = radiometry.applied(pixels, gains)

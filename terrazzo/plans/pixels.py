@@ -272,6 +272,20 @@ def pansharpen(spark: SparkSession, d: str) -> DataFrame:
     return pansharp.sharpen(px(spark, d).where("scene_id = 0"), pan, 2, *_extent(pan))
 
 
+_FILLED = {"w": SCENE0["w"]} | {
+    f"{n}{b}": SCENE0[v].replace("b1", b).replace("holes", f"holes{b}").replace("from near", f"from near{b}") if v != "med" else SCENE0["med"].replace("p.b1", f"p.{b}").replace("from near", f"from near{b}") + ""
+    for b in P.BANDS for n, v in (("holes", "holes"), ("near", "near"), ("med", "med"))
+}
+
+
+@query(with_views("select p.scene_id, p.x, p.y, coalesce(medb1.m, b1) as b1, coalesce(medb2.m, b2) as b2, coalesce(medb3.m, b3) as b3 from px p left join medb1 using (scene_id, x, y) left join medb2 using (scene_id, x, y) left join medb3 using (scene_id, x, y)", "px", more=_FILLED))
+def rgb_composite(spark: SparkSession, d: str) -> DataFrame:
+    """The band files of all scenes, filled and stacked."""
+    own = px(spark, d)
+    bands = own.select("scene_id", "x", "y", F.explode(F.array(*(F.struct(F.lit(k + 1).alias("band"), F.col(b).alias("dn")) for k, b in enumerate(P.BANDS)))).alias("s")).select("scene_id", "x", "y", "s.*")
+    return merge.composite(bands, *_extent(own), numbers=(1, 2, 3))
+
+
 @query(with_views("select x, y, r.b1, g.b2, b.b3 from (select x, y, b1 from px where scene_id = 0) r join (select x, y, b2 from px where scene_id = 1) g using (x, y) join (select x, y, b3 from px where scene_id = 2) b using (x, y)", "px"))
 def stack_rgb(spark: SparkSession, d: str) -> DataFrame:
     own = px(spark, d)

@@ -64,15 +64,15 @@ def test_median_fill_against_numpy(spark):
     assert (got == want).all()
 
 
-@pytest.mark.parametrize("sigma", [1.0, 2.0])
-def test_gaussian_against_numpy(spark, sigma):
+@pytest.mark.parametrize("deviation", [1.0, 2.0])
+def test_gaussian_against_numpy(spark, deviation):
     a = np.random.default_rng(2).integers(0, 99, (19, 23)).astype(float)
-    k = np.array(stencil.kernel(sigma))
+    k = np.array(stencil.kernel(deviation))
     r = len(k) // 2
     p = np.pad(a, r, mode="symmetric")
     want = np.apply_along_axis(lambda v: np.convolve(v, k, "valid"), 0, np.apply_along_axis(lambda v: np.convolve(v, k, "valid"), 1, p))
     got = np.zeros_like(a)
-    for row in stencil.gaussian(grid(spark, a).select("x", "y", F.col("dn").cast("double").alias("v")), sigma, 23, 19).collect():
+    for row in stencil.gaussian(grid(spark, a).select("x", "y", F.col("dn").cast("double").alias("v")), deviation, 23, 19).collect():
         got[row.y, row.x] = row.v
     assert np.allclose(got, want)
 
