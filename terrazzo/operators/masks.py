@@ -15,9 +15,9 @@ BROAD = [2, 20, 92, 97, 98]
 CLEAR = [1, 10, 20, 55, 82, 90, 96]
 
 
-def ranked(df: DataFrame, keys: list[str], at: list[float], **channels: Column) -> DataFrame:
+def ranked(df: DataFrame, keys: list[str], at: list[float], weight: str | None = None, **channels: Column) -> DataFrame:
     """Adds `<channel><percentile>` of each channel within keys; one small row for each key meets the pixels."""
-    p = percentiles(df, keys, channels, at)
+    p = percentiles(df, keys, channels, at, weight)
     named = p.select(*keys, *(F.col(f"{c}_p")[i].alias(f"{c}{q}") for c in channels for i, q in enumerate(at)))
     return df.join(named, keys) if keys else df.crossJoin(named)  # one row
 
@@ -55,9 +55,9 @@ def broad(df: DataFrame, keys: list[str]) -> DataFrame:
     return r.select(*df.columns, broad_rule(F.col("luma"), F.col("sat"), lambda q: F.col(f"p{q}")).alias("mask"))
 
 
-def broad_and_extremes(df: DataFrame, keys: list[str]) -> DataFrame:
+def broad_and_extremes(df: DataFrame, keys: list[str], weight: str | None = None) -> DataFrame:
     """Both masks, b and e, from one ranking."""
-    r = ranked(_lit(df), keys, BROAD, p=F.col("luma"))
+    r = ranked(_lit(df), keys, BROAD, weight, p=F.col("luma"))
     return r.select(*df.columns, broad_rule(F.col("luma"), F.col("sat"), lambda q: F.col(f"p{q}")).alias("b"), within(F.col("luma"), F.col("p2"), F.col("p98")).alias("e"))
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from terrazzo.functions import pixel as px
 from terrazzo.operators import masks
 from terrazzo.operators.lineage import cut
-from terrazzo.operators.stats import band_profile
+from terrazzo.operators.stats import band_profile, colours
 
 GLOBAL = {"gains": (0.55, 1.55), "offset": 120.0}
 OVERLAP = {"gains": (0.65, 1.45), "offset": 90.0}
@@ -19,12 +19,12 @@ TINTS, GAIN_RATIO, STRENGTH = (0.94, 1.06), 1.08, 0.90
 
 def scene_profile(pixels: DataFrame, keys: list[str], least: int = 3000, low: float = 10, high: float = 90) -> DataFrame:
     """Profile of each scene over its broad mask, over the mask without extremes where that is too small, and none (no
-    row) where both are."""
-    good = pixels.where(px.valid())
-    both = masks.broad_and_extremes(good, keys)
-    counts = both.groupBy(*keys).agg(F.count_if("b").alias("nb"), F.count_if("e").alias("ne"))
+    row) where both are. The raster is scanned once, for its colours; masks and profiles are those of weighted colours."""
+    both = masks.broad_and_extremes(cut(colours(pixels, keys)), keys, "weight")
+    of = lambda c: F.sum(F.when(F.col(c), F.col("weight")).otherwise(0))
+    counts = both.groupBy(*keys).agg(of("b").alias("nb"), of("e").alias("ne"))
     chosen = both.join(counts, keys).where(F.when(F.col("nb") >= least, F.col("b")).otherwise(F.col("e") & (F.col("ne") >= least)))
-    return band_profile(chosen.select(*pixels.columns), keys, low, high)
+    return band_profile(chosen.select(*keys, *px.BANDS, "weight"), keys, low, high, weight="weight")
 
 
 def target_profile(profiles: DataFrame, reference: int | None = None, key: str = "scene_id") -> DataFrame:
@@ -59,7 +59,7 @@ def transforms(source: Column | str, target: str, gains: tuple[float, float], of
 
 def global_transforms(pixels: DataFrame, least: int = 3000, strength: float = STRENGTH, reference: int | None = None) -> DataFrame:
     """scene_id and its transform to the target profile; scenes without a profile have no row."""
-    profiles = scene_profile(pixels, ["scene_id"], least)
+    profiles = cut(scene_profile(pixels, ["scene_id"], least))  # a row for each scene, used twice
     target = target_profile(profiles, reference)
     pairs = profiles.select("scene_id", F.struct("*").alias("s")).crossJoin(target.select(F.struct("*").alias("t")))  # one row
     return pairs.select("scene_id", *transforms("s", "t", **GLOBAL, strength=strength))
@@ -119,17 +119,17 @@ def overlap_transforms(pairs: DataFrame, keys: list[str], least: int = 1000, str
 def match_by_overlap(pixels: DataFrame, reference: int, order: list[int], least: int = 1000, strength: float = STRENGTH, fallback: DataFrame | None = None) -> DataFrame:
     """Scenes corrected one after the other, each onto the corrected scene it shares the most masked pixels with; a scene
     without a usable overlap gets its fallback transform, or none. One round for each scene: later estimates need the
-    corrected pixels of earlier ones. Only a row for each scene comes to the driver."""
+    corrected pixels of earlier ones. A round estimates only the pairs of the scene corrected last, as the others' pixels
+    have not changed. Only a row for each pair of scenes comes to the driver."""
     pixels = cut(pixels)
     done = {reference: pixels.where(F.col("scene_id") == reference)}
-    pending = [s for s in order if s != reference]
+    pending, places, last, known = [s for s in order if s != reference], {s: k for k, s in enumerate(order)}, reference, []
     while pending:
-        matched = reduce(DataFrame.unionByName, done.values())
-        a = matched.where(px.valid()).select("x", "y", F.col("scene_id").alias("a"), *(F.col(b).alias(f"a{i + 1}") for i, b in enumerate(px.BANDS)))
+        a = done[last].where(px.valid()).select("x", "y", F.col("scene_id").alias("a"), *(F.col(b).alias(f"a{i + 1}") for i, b in enumerate(px.BANDS)))
         b = pixels.where(px.valid() & F.col("scene_id").isin(pending)).select("x", "y", F.col("scene_id").alias("b"), *px.bands())
-        found = overlap_transforms(a.join(b, ["x", "y"]), ["a", "b"], least, strength=strength).where("safe").collect()
-        places = {s: k for k, s in enumerate(order)}
-        best = max(found, key=lambda r: (r.pixels, -places[r.b], -list(done).index(r.a)), default=None)
+        known += overlap_transforms(a.join(b, ["x", "y"]), ["a", "b"], least, strength=strength).where("safe").collect()
+        known = [r for r in known if r.b in pending]
+        best = max(known, key=lambda r: (r.pixels, -places[r.b], -list(done).index(r.a)), default=None)
         source = best.b if best else pending[0]
         own = pixels.where(F.col("scene_id") == source)
         if best:
@@ -137,6 +137,6 @@ def match_by_overlap(pixels: DataFrame, reference: int, order: list[int], least:
             own = applied(own, gains)
         elif fallback is not None:
             own = applied(own, fallback)
-        done[source] = cut(own)
+        done[source], last = cut(own), source
         pending.remove(source)
     return reduce(DataFrame.unionByName, (done[s] for s in order))

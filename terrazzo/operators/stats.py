@@ -11,23 +11,30 @@ from terrazzo.functions import pixel as px
 LEVELS = ("low", "mid", "high")
 
 
-def percentiles(df: DataFrame, keys: list[str], channels: dict[str, Column], at: list[float]) -> DataFrame:
+def percentiles(df: DataFrame, keys: list[str], channels: dict[str, Column], at: list[float], weight: str | None = None) -> DataFrame:
     """keys, then for each channel `<channel>_p`, the array of its interpolated percentiles (0 to 100; null of nothing), and
-    `pixels`, the number of rows."""
+    `pixels`, the number of rows, or the sum of their weights."""
     pairs = F.array(*(F.struct(F.lit(name).alias("channel"), c.cast("double").alias("v")) for name, c in channels.items()))
-    counted = df.select(*keys, F.explode(pairs).alias("c")).groupBy(*keys, "c.channel", "c.v").agg(F.count("*").alias("n"))
+    weights = F.col(weight) if weight else F.lit(1)
+    counted = df.select(*keys, weights.cast("long").alias("weight"), F.explode(pairs).alias("c")).groupBy(*keys, "c.channel", "c.v").agg(F.sum("weight").alias("n"))
     at_ = F.array(*(F.lit(p / 100) for p in at))
     each = [F.percentile(F.when(F.col("channel") == name, F.col("v")), at_, F.col("n")).alias(f"{name}_p") for name in channels]
     rows = F.sum(F.when(F.col("channel") == next(iter(channels)), F.col("n"))).alias("pixels")
     return counted.groupBy(*keys).agg(*each, rows)
 
 
-def band_profile(df: DataFrame, keys: list[str], low: float, high: float, names: tuple[str, ...] = px.BANDS) -> DataFrame:
+def colours(pixels: DataFrame, keys: list[str]) -> DataFrame:
+    """keys, b1, b2, b3 and `weight`, how many valid pixels have them: all that ranks, masks and profiles of colours need of a
+    raster, from one scan with map-side combining."""
+    return pixels.where(px.valid()).groupBy(*keys, *px.BANDS).agg(F.count("*").alias("weight"))
+
+
+def band_profile(df: DataFrame, keys: list[str], low: float, high: float, names: tuple[str, ...] = px.BANDS, weight: str | None = None) -> DataFrame:
     """Colour profile: low, mid, high of each band and of luma, median colour ratios, and the number of pixels."""
     luma = px.brightness(names)
     channels = {n: F.col(n) for n in names} | {"luma": luma}
     ratios = {f"{n}_ratio": px.color_ratio(F.col(n), luma) for n in names}
-    p = percentiles(df, keys, channels | ratios, [low, 50, high])
+    p = percentiles(df, keys, channels | ratios, [low, 50, high], weight)
     wide = [F.col(f"{c}_p")[i].alias(f"{c}_{level}") for c in channels for i, level in enumerate(LEVELS)]
     return p.select(*keys, *wide, *(F.col(f"{r}_p")[1].alias(r) for r in ratios), "pixels")
 
