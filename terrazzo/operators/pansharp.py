@@ -37,7 +37,8 @@ def matched(both: DataFrame, stats: DataFrame) -> DataFrame:
 
 
 def sharpen(rgb: DataFrame, pan: DataFrame, ratio: int, width: int, height: int, scale: float = 65535.0, strength: float = DETAIL, tile: int = 2048, stride: int = 4) -> DataFrame:
-    """x, y, b1, b2, b3 at PAN resolution, whole numbers; 0 where pan or colour is missing. width, height: of pan."""
+    """x, y, b1, b2, b3 at PAN resolution, whole numbers (cut after rounding to a millionth, so that the last bit of a sum in
+    another order does not count); 0 where pan or colour is missing. width, height: of pan."""
     both = joined(rgb, pan, ratio, scale)
     m = matched(both, statistics(both, tile, stride, width))
     low = stencil.gaussian(m.select("x", "y", "v"), max(1.0, ratio / 2), width, height)
@@ -45,5 +46,5 @@ def sharpen(rgb: DataFrame, pan: DataFrame, ratio: int, width: int, height: int,
     i = intensity()
     target = px.clip(i + strength * (F.col("v") - F.col("low")), 0.0, 1.0)
     gain = px.clip(F.when(i > 1e-6, target / F.greatest(i, px.double(1e-6))).otherwise(1.0), *GAINS)
-    each = [F.when(F.col("valid"), px.truncated(px.clip(F.col(b) * gain, 0.0, 1.0) * scale, int(scale))).otherwise(0).cast("long").alias(b) for b in px.BANDS]
+    each = [F.when(F.col("valid"), px.truncated(F.round(px.clip(F.col(b) * gain, 0.0, 1.0) * scale, 6), int(scale))).otherwise(0).cast("long").alias(b) for b in px.BANDS]
     return out.select("x", "y", *each)

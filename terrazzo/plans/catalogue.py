@@ -152,9 +152,9 @@ def scene_status_dry_run(spark: SparkSession, d: str) -> DataFrame:
     return _status(spark, d, True)
 
 
-@query("select c_custkey as attempt, least(60, 5 * c_custkey) as wait from customer where c_custkey <= 20")
+@query("select c_custkey as attempt, least(60, 5 * c_custkey) as wait from customer")
 def retry_schedule(spark: SparkSession, d: str) -> DataFrame:
-    c = read(spark, d, "customer").where("c_custkey <= 20")
+    c = read(spark, d, "customer")
     return c.select(F.col("c_custkey").alias("attempt"), ingest.wait_seconds(F.col("c_custkey")).alias("wait"))
 
 

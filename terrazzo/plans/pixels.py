@@ -265,9 +265,8 @@ def pansharpen_exact(spark: SparkSession, d: str) -> DataFrame:
     return m.join(low, ["x", "y"]).select("x", "y", *_bands(lambda b: F.when(F.col("valid"), F.round(P.clip(b * gain, 0.0, 1.0) * 65535, 3)).otherwise(0.0)))
 
 
-@query()
+@query(with_views("select x, y, " + ", ".join(f"case when valid then trunc(round(least(1::double, {b} * {_GAIN}) * 65535, 6))::bigint else 0 end as {b}" for b in P.BANDS) + " from m join bl using (x, y)", "pan_px", more=_DETAIL))
 def pansharpen(spark: SparkSession, d: str) -> DataFrame:
-    """Truncated to whole numbers, which a last bit may move: the exact form above carries the check."""
     pan = pan_px(spark, d)
     return pansharp.sharpen(px(spark, d).where("scene_id = 0"), pan, 2, *_extent(pan))
 
