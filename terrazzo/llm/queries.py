@@ -85,6 +85,98 @@ from (select *, coalesce(string_agg(case when role = 'assistant' then text end,
 group by planted, conv_id, loss, formatted_chars, formatted_bytes
 """
 
+OP4 = r"""
+with recursive words as (
+    select row_number() over () as rid, doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda w: w <> '') as w from documents
+),
+sets as materialized (
+    select rid, doc_id, case when len(w) = 0 then [] when len(w) < 4 then [array_to_string(w, ' ')] else list_distinct(list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' '))) end as s from words
+),
+flat as materialized (select rid, doc_id, len(s) as z, hash(unnest(s)) as h, unnest(s) as shingle from sets where len(s) > 0 and doc_id is not null),
+links as materialized (
+    select distinct a, b from (
+        select x.doc_id as a, y.doc_id as b from flat x join flat y on x.h = y.h and x.shingle = y.shingle and x.rid <> y.rid and least(x.z, y.z) * 100 >= greatest(x.z, y.z) * 80
+        group by x.rid, y.rid, x.doc_id, y.doc_id, x.z, y.z having 100 * count(*) >= 80 * (x.z + y.z - count(*)))
+),
+reach(a, b) as (select a, b from links union select r.a, l.b from reach r join links l on r.b = l.a),
+least_of as (select a, min(b) as m from reach group by a)
+select doc_id, len(s)::bigint as n_shingles, least(doc_id, coalesce(m, doc_id)) as component_id, doc_id is null or doc_id <= coalesce(m, doc_id) as kept
+from sets left join least_of on doc_id = a
+"""
+
+OP6 = r"""
+with docs as (select row_number() over () as rid, doc_id, text from documents),
+lines as materialized (
+    select rid, doc_id, unnest(string_split(coalesce(text, ''), chr(10))) as line, unnest(range(len(string_split(coalesce(text, ''), chr(10))))) as n from docs
+),
+sets as materialized (
+    select *, list_sort(list_distinct(list_filter(string_split_regex(lower(line), '[ \t\r\f\v]+'), lambda w: w <> ''))) as s from lines
+),
+nodes as materialized (
+    select row_number() over (order by p) as k, s, len(s) as z, p from (select s, min({'d': doc_id, 'n': n, 't': hash(text)}) as p from sets join docs using (rid, doc_id) where len(s) > 0 group by s)
+),
+flat as materialized (select k, z, unnest(s) as w from nodes),
+matched as materialized (
+    select distinct later from (
+        select x.k as later from flat x join flat y on x.w = y.w and y.k < x.k and least(x.z, y.z) * 100 >= greatest(x.z, y.z) * 80
+        group by x.k, y.k, x.z, y.z having 100 * count(*) >= 80 * (x.z + y.z - count(*)))
+),
+kept as (
+    select rid, line, n from sets join docs using (rid, doc_id) left join nodes using (s) left join matched on k = later
+    where len(s) = 0 or (later is null and p = {'d': docs.doc_id, 'n': n, 't': hash(text)})
+)
+select doc_id, n_lines, n_lines - coalesce(n_kept, 0) as n_removed, case when text is not null then sha256(coalesce(body, '')) end as kept_sha256
+from (select rid, doc_id, text, len(string_split(coalesce(text, ''), chr(10)))::bigint as n_lines from docs)
+left join (select rid, count(*) as n_kept, string_agg(line, chr(10) order by n) as body from kept group by rid) using (rid)
+"""
+
+_TEMPLATES = ", ".join(f"('{label}', '{text}')" for label, text in sorted(licenses.TEMPLATES.items()))
+_PHRASES = ", ".join(f"('{phrase}', '{label}')" for phrase, label in licenses.PHRASES.items())
+
+OP7 = rf"""
+with docs as materialized (
+    select row_number() over () as rid, doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') as w from documents
+),
+flat as materialized (select rid, unnest(range(len(w))) as pos, unnest(w) as word from docs),
+phrases as (select phrase, label, string_split(phrase, ' ') as p from (values {_PHRASES}) v(phrase, label)),
+places as materialized (
+    select rid, pos, label from flat join phrases on word = p[1] join docs using (rid) where array_to_string(w[pos + 1:pos + len(p)], ' ') = phrase
+),
+base as (select rid, count(*) as n_base, min(pos) as first_word, max(pos) as last_word, string_agg(distinct label, ',' order by label) as base_labels from places group by rid),
+templates as (select label, list_distinct(string_split(own, ' ')) as own, greatest({licenses.LEAST}, 2 * len(string_split(own, ' '))) as length from (values {_TEMPLATES}) v(label, own)),
+vocabulary as (select label, unnest(own) as word, len(own) as size, ceil({licenses.THRESHOLD} * len(own) - 1e-9) as need, length from templates),
+occurrences as materialized (
+    select * from (select rid, label, pos, word, size, need, length from flat join vocabulary using (word)) semi join
+        (select rid, label from flat join vocabulary using (word) group by rid, label, need having count(distinct word) >= need) using (rid, label)
+),
+blocks as (
+    select a.rid, a.label, count(distinct b.word) / a.size::double as overlap from occurrences a join occurrences b on b.rid = a.rid and b.label = a.label and b.pos >= a.pos and b.pos < a.pos + a.length
+    group by a.rid, a.label, a.pos, a.size, a.need having count(distinct b.word) >= a.need
+),
+best as (select rid, max(overlap) as score from blocks group by rid),
+every as (select rid, string_agg(distinct label, ',' order by label) as labels from (select rid, label from blocks union all select rid, label from places) group by rid)
+select doc_id, len(w)::bigint as n_words, coalesce(n_base, 0)::bigint as n_base, first_word, last_word, coalesce(base_labels, '') as base_labels, coalesce(labels, '') as labels,
+       case when n_base > 0 then 1.0::double else coalesce(score, 0.0::double) end as score
+from docs left join base using (rid) left join best using (rid) left join every using (rid)
+"""
+
+OP8 = r"""
+with docs as materialized (select row_number() over () as rid, doc_id, encode(coalesce(text, '')) as b, octet_length(encode(coalesce(text, ''))) as n from documents),
+windows as materialized (select rid, unnest(range(1, n - 198)) as i from docs where n >= 200),
+named as materialized (select w.rid, w.i, md5_number(hex(d.b[w.i:w.i + 199])) as h from windows w join docs d using (rid)),
+again as materialized (select rid, i from named where h in (select h from named group by h having count(*) > 1)),
+runs as (
+    select rid, min(i) as s, max(i) + 199 as e from (select *, sum(fresh) over (partition by rid order by i) as g from (select *, case when i - lag(i) over (partition by rid order by i) <= 200 then 0 else 1 end as fresh from again)) group by rid, g
+),
+gaps as (
+    select rid, s as stop, coalesce(lag(e) over (partition by rid order by s), 0) + 1 as start from runs
+    union all select rid, n + 1, coalesce((select max(e) from runs r where r.rid = docs.rid), 0) + 1 from docs
+),
+kept as (select rid, string_agg(case when stop > start then hex(b[start:stop - 1]) else '' end, '' order by start) as body from gaps join docs using (rid) group by rid)
+select doc_id, n::bigint as n_bytes, coalesce(gone, 0)::bigint as n_removed, coalesce(many, 0) as n_spans, sha256(unhex(body)) as kept_sha256
+from docs join kept using (rid) left join (select rid, sum(e - s + 1) as gone, count(*) as many from runs group by rid) using (rid)
+"""
+
 OP9 = """
 with x as (
     select vec_id, list_transform(max(embedding), lambda v: floor(64 * v::double)) as e from embeddings
@@ -98,5 +190,6 @@ select query_id, rank, vec_id, score from (
 
 
 def oracle_sql() -> dict[str, str]:
-    """Where SQL can say it, and is quick enough on whole tables; the tests hold the others against brute force."""
-    return {"op2_chat_format": OP2, "op9_topk": OP9}
+    """Where SQL can say it, and is quick enough on whole tables; the tests hold the others against brute force: retrieval by a
+    random space (op1), a trained model (op3, op10), byte pairs by rank (op5)."""
+    return {"op2_chat_format": OP2, "op4_neardup": OP4, "op6_linededup": OP6, "op7_licenses": OP7, "op8_substrings": OP8, "op9_topk": OP9}

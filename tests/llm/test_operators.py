@@ -609,3 +609,13 @@ def test_bpe_query(spark):
     for r in queries.op5_bpe(spark, DATA).collect():
         ids = want.encode_ordinary(own[r.doc_id])
         assert (r.n_tokens, r.ids_sha256, r.decoded_sha256) == (len(ids), sha(" ".join(map(str, ids))), sha(own[r.doc_id]))
+
+
+@pytest.mark.parametrize("name", sorted(queries.oracle_sql()))
+def test_oracles(spark, duck, name):
+    got = queries.queries()[name](spark, DATA)
+    rows = duck.sql(queries.oracle_sql()[name])
+    assert sorted(got.columns) == sorted(rows.columns)
+    order = sorted(got.columns)
+    key = lambda r: tuple((x is not None, x) for x in r)
+    assert sorted((tuple(r[c] for c in order) for r in got.collect()), key=key) == sorted(rows.select(*(f'"{c}"' for c in order)).fetchall(), key=key)
