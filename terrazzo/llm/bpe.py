@@ -70,7 +70,7 @@ class Coder:
             self.ranks = {base64.b64decode(a): int(b) for a, b in (line.split() for line in f if line.strip())}
         self.split = regex.compile(pattern).findall
         # spills go to the task's own temporary folder
-        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "400MB", "temp_directory": f"{tempfile.gettempdir()}/duckdb-{os.getpid()}"})
+        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "256MB", "temp_directory": f"{tempfile.gettempdir()}/duckdb-{os.getpid()}"})
         ranks = self.ranks
         found = [(ranks[t[:i]], ranks[t[i:]], r) for t, r in ranks.items() for i in range(1, len(t)) if t[:i] in ranks and t[i:] in ranks]
         a, b, merged = (pa.array(x, pa.int32()) for x in zip(*found, strict=True))

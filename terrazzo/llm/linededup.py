@@ -83,7 +83,8 @@ def line_nodes(documents: DataFrame, levels: DataFrame, percent: int) -> DataFra
 
 
 def postings(nodes: DataFrame) -> DataFrame:
-    return nodes.select(*NODE, "lines", "size", "bits", F.posexplode("prefix").alias("pos", "tok"))
+    there = nodes.where("size is not null and bits is not null and lines is not null")  # as any join on them implies: see below
+    return there.select(*NODE, "lines", "size", "bits", F.posexplode("prefix").alias("pos", "tok"))
 
 
 def present(keys: DataFrame, column: str) -> DataFrame:
