@@ -5,7 +5,9 @@ Signing: words are split at ASCII white space, A-Z lower-cased; a document's set
 set, and pairs are confirmed with shingle hashes of another seed. HASHES minima make BANDS band keys of ROWS minima each, and their low BITS bits are packed into a signature.
 Equal sets form a class first, which stands for its members. A band's bucket then links each member to the bucket's most
 central one (the member whose buckets are the fullest), so a group of n copies gives n candidates and not n squared; members
-that stay outside their hub's component then meet all of the bucket that is in other components. Candidates whose collision-corrected similarity, by bit counts, is more than SLACK below the threshold are
+that stay outside their hub's component then meet those of the bucket that are in other components, but for members that
+link to the hub directly if the outsider is too far from it: Jaccard distance is a metric, so what is further than twice the
+allowed distance from the hub (by a lower bound, from bitmaps) cannot be near to what is within it. Candidates whose collision-corrected similarity, by bit counts, is more than SLACK below the threshold are
 dropped (about five standard deviations), as are those whose parity bitmaps (a bit flipped for each shingle) differ in more
 bits than similar sets can differ in shingles; the others are confirmed on full sets. A pair at the threshold shares no
 band with probability (1 - 0.8**4)**32 = 5e-8.
@@ -182,17 +184,25 @@ def near_duplicates(documents: DataFrame, k: int = 5, percent: int = 80) -> Data
     ordered = lambda a, b: [F.least(a, b).alias("u"), F.greatest(a, b).alias("v")]
     hubs = buckets.join(weight, "doc_id").groupBy("band").agg(F.max(F.struct("w", (-F.col("doc_id")).alias("id"))).alias("h")).select("band", (-F.col("h.id")).alias("hub"))
     met = stash(buckets.join(hubs, "band"), "met")
-    edges = stash(linked_by(met.where("doc_id <> hub").select(*ordered("doc_id", "hub")).distinct()).unionByName(repeated), "links")
+    near = stash(linked_by(met.where("doc_id <> hub").select(*ordered("doc_id", "hub")).distinct()), "links")
+    edges = near.unionByName(repeated)
     labels = components(edges)
     at = lambda c: labels.select(F.col("id").alias(c), F.col("component").alias(f"{c}_in"))
-    inside = met.join(at("doc_id"), "doc_id", "left").join(at("hub"), "hub", "left").select("band", "doc_id", F.coalesce("doc_id_in", "doc_id").alias("c"), F.coalesce("hub_in", "hub").alias("hub_c"))
+    # a doc_id of several texts has several sets, so its links tell nothing of distances
+    once = of_doc.groupBy("doc_id").agg(F.count("*").alias("n")).where("n = 1")
+    single = lambda c: once.select(F.col("doc_id").alias(c))
+    linked = near.join(single("u"), "u", "left_semi").join(single("v"), "v", "left_semi").select("u", "v").unionByName(once.select(F.col("doc_id").alias("u"), F.col("doc_id").alias("v"))).distinct().withColumn("direct", F.lit(True))
+    inside = met.join(at("doc_id"), "doc_id", "left").join(at("hub"), "hub", "left").select("band", "doc_id", "hub", F.coalesce("doc_id_in", "doc_id").alias("c"), F.coalesce("hub_in", "hub").alias("hub_c"), *ordered("doc_id", "hub"))
+    inside = inside.join(linked, ["u", "v"], "left").select("band", "doc_id", "hub", "c", "hub_c", F.coalesce("direct", F.lit(False)).alias("direct"))
     inside = stash(inside, "inside")
-    outside = inside.where("c <> hub_c").select("band", "doc_id")
-
-    every = inside.drop("hub_c").join(outside.select("band").distinct(), "band", "left_semi").join(short, "doc_id")
-    late = every.join(outside, ["band", "doc_id"], "left_semi")
-    rest = late.alias("x").join(every.alias("y"), (F.col("x.band") == F.col("y.band")) & (F.col("x.c") != F.col("y.c")) & close)
-    labels = components(edges.unionByName(confirm(rest.select(*ordered(F.col("x.doc_id"), F.col("y.doc_id"))).distinct(), own, k, percent)))
+    outside = inside.where("c <> hub_c").select("band", "doc_id", "hub", "c")
+
+    every = inside.select("band", "doc_id", "c", "direct").join(outside.select("band").distinct(), "band", "left_semi").join(short, "doc_id")
+    whole_pair = lambda c: outside.alias("o").join(short.alias("x"), F.col("o.doc_id") == F.col("x.doc_id")).join(short.alias("y"), F.col("o.hub") == F.col("y.doc_id")).select("o.band", "o.doc_id", "o.c", "x.n_shingles", "x.sig", c.alias("far"))
+    late = whole_pair(differ * percent > both * (100 - percent))
+    met_by = lambda late, every: late.alias("x").join(every.alias("y"), (F.col("x.band") == F.col("y.band")) & (F.col("x.c") != F.col("y.c")) & close).select(*ordered(F.col("x.doc_id"), F.col("y.doc_id")))
+    rest = met_by(late, every.where("not direct")).unionByName(met_by(late.where("not far"), every.where("direct"))).distinct()
+    labels = components(edges.unionByName(confirm(rest, own, k, percent)))
 
     by_doc = of_doc.join(labels, of_doc.rep == labels.id, "left").groupBy("doc_id").agg(F.min(F.coalesce("component", "rep")).alias("component_id"))
     whole = signs.select("doc_id", "n_shingles").join(by_doc, "doc_id", "left").withColumn("component_id", F.coalesce("component_id", "doc_id"))
