@@ -64,27 +64,28 @@ def token_set(line: Column, levels: Column) -> Column:
     return F.sort_array(F.transform(hashes, lambda h: F.shiftleft(level(h).cast("long"), 57).bitwiseOR(F.shiftrightunsigned(h, 7))))
 
 
-def parity(tokens: Column) -> Column:
-    """64 bits, one of which each token flips."""
-    return F.aggregate(tokens, F.lit(0).cast("long"), lambda acc, t: acc.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), t.bitwiseAND(F.lit(63)).cast("int"))))
+def parity(tokens: Column, half: int) -> Column:
+    """64 of 128 bits, one of which each token flips."""
+    one = lambda t: F.when(t.bitwiseAND(F.lit(64)) == 64 * half, 1).otherwise(0).cast("long")
+    return F.aggregate(tokens, F.lit(0).cast("long"), lambda acc, t: acc.bitwiseXOR(F.call_function("shiftleft", one(t), t.bitwiseAND(F.lit(63)).cast("int"))))
 
 
 def line_nodes(documents: DataFrame, levels: DataFrame, percent: int) -> DataFrame:
-    """h, doc_id, n (its earliest place), row (a hash of the text there), lines (how many), size, bits, prefix: a row for each
+    """h, doc_id, n (its earliest place), row (a hash of the text there), lines (how many), size, bits, more (128 bits of parity), prefix: a row for each
     distinct token set."""
     lines = documents.select("doc_id", F.xxhash64("text").alias("row"), F.posexplode(split_lines(F.col("text"))).alias("n", "line")).where(~is_blank(F.col("line")))
     # the table is a scalar sub-query: each task holds it once, and no row carries it
     sets = lines.withColumn("levels", levels.scalar()).withColumn("toks", token_set(F.col("line"), F.col("levels"))).drop("levels", "line")
     size = F.size("toks")
     prefix = F.slice("toks", F.lit(1), size - F.floor((size * percent + 99) / 100).cast("int") + 1)
-    wide = sets.select(F.xxhash64("toks").alias("h"), F.xxhash64(F.lit(1), "toks").alias("h2"), F.struct("doc_id", "n", "row").alias("place"), F.struct(size.alias("size"), parity(F.col("toks")).alias("bits"), prefix.alias("prefix")).alias("set"))
+    wide = sets.select(F.xxhash64("toks").alias("h"), F.xxhash64(F.lit(1), "toks").alias("h2"), F.struct("doc_id", "n", "row").alias("place"), F.struct(size.alias("size"), parity(F.col("toks"), 0).alias("bits"), parity(F.col("toks"), 1).alias("more"), prefix.alias("prefix")).alias("set"))
     nodes = wide.groupBy("h", "h2").agg(F.min("place").alias("place"), F.count("*").alias("lines"), F.first("set").alias("set"))
     return nodes.select("h", "place.*", "lines", "set.*")
 
 
 def postings(nodes: DataFrame) -> DataFrame:
-    there = nodes.where("size is not null and bits is not null and lines is not null")  # as any join on them implies: see below
-    return there.select(*NODE, "lines", "size", "bits", F.posexplode("prefix").alias("pos", "tok"))
+    there = nodes.where("size is not null and bits is not null and more is not null and lines is not null")  # as any join on them implies: see below
+    return there.select(*NODE, "lines", "size", "bits", "more", F.posexplode("prefix").alias("pos", "tok"))
 
 
 def present(keys: DataFrame, column: str) -> DataFrame:
@@ -114,7 +115,7 @@ def candidate(percent: int) -> Column:
 
 
 def differ() -> Column:
-    return F.bit_count(F.col("x.bits").bitwiseXOR(F.col("y.bits")))
+    return F.bit_count(F.col("x.bits").bitwiseXOR(F.col("y.bits"))) + F.bit_count(F.col("x.more").bitwiseXOR(F.col("y.more")))
 
 
 def verified(pairs: DataFrame, nodes: DataFrame, documents: DataFrame, percent: int) -> DataFrame:
@@ -154,7 +155,7 @@ def similar_nodes(nodes: DataFrame, documents: DataFrame, percent: int) -> DataF
     # always true, and of both sides: they keep the same columns and filters, so one exchange serves both
     both = F.coalesce("x.lines", "y.lines") > 0
     met = listed.alias("x").join(hubs.alias("y"), (F.col("x.tok") == F.col("y.tok")) & both & candidate(percent))
-    pointer = F.shiftleft(differ().cast("long"), 56).bitwiseOR(F.shiftrightunsigned("y.h", 8)).alias("pointer")
+    pointer = F.shiftleft(F.least(differ(), F.lit(127)).cast("long"), 56).bitwiseOR(F.shiftrightunsigned("y.h", 8)).alias("pointer")
     best = met.select(*(F.col(f"x.{c}") for c in NODE), pointer).groupBy(*NODE).agg(F.min("pointer").bitwiseAND(F.lit(POINTER)).alias("pointer"))
     best = stash(best, "line-best")
     near = verified(best, nodes, documents, percent)
@@ -162,13 +163,14 @@ def similar_nodes(nodes: DataFrame, documents: DataFrame, percent: int) -> DataF
     x, y = nodes.alias("x"), near.withColumn("settled", F.lit(True)).alias("y")
     same = (F.col("x.h") == F.col("y.h")) & F.col("x.doc_id").eqNullSafe(F.col("y.doc_id")) & (F.col("x.n") == F.col("y.n"))
     marked = stash(x.join(y, same, "left").select("x.*", F.coalesce("settled", F.lit(False)).alias("settled")), "line-marked")
-    listed = marked.select(*NODE, "size", "bits", "settled", F.posexplode("prefix").alias("pos", "tok"))
+    listed = marked.select(*NODE, "size", "bits", "more", "settled", F.posexplode("prefix").alias("pos", "tok"))
     unsettled = ~F.coalesce("x.settled", "y.settled")  # x's, as it is never null; of both sides for the same reason
     rest = listed.alias("x").join(listed.alias("y"), (F.col("x.tok") == F.col("y.tok")) & unsettled & candidate(percent))
     rest = stash(rest.select(*(F.col(f"x.{c}") for c in NODE), F.shiftrightunsigned("y.h", 8).alias("pointer")).distinct(), "line-rest")
+    drop(best, marked)
     late = verified(rest, nodes, documents, percent)
     found = stash(near.unionByName(late), "line-similar")
-    drop(best, near, marked, rest, late)
+    drop(near, rest, late)
     return found
 
 
