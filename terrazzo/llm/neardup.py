@@ -156,6 +156,17 @@ def confirm(pairs: DataFrame, documents: DataFrame, k: int, percent: int) -> Dat
     return wide.mapInArrow(confirmed(k, percent), "u bigint, v bigint")
 
 
+def unequal_bits() -> Column:
+    """Bits in which the parity bitmaps of x and y differ: at most as many as shingles that only one of them has."""
+    words = range(HASHES * BITS // 64, (HASHES * BITS + PARITY) // 64)
+    counts = [F.bit_count(F.col("x.sig")[i].bitwiseXOR(F.col("y.sig")[i])) for i in words]
+    return sum(counts[1:], counts[0])
+
+
+def ordered(a: str | Column, b: str | Column) -> list[Column]:
+    return [F.least(a, b).alias("u"), F.greatest(a, b).alias("v")]
+
+
 def near_duplicates(documents: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles, component_id (the smallest doc_id that links reach), kept: a row for each document."""
     own = documents.select("doc_id", "text")
@@ -171,37 +182,47 @@ def near_duplicates(documents: DataFrame, k: int = 5, percent: int = 80) -> Data
     postings = reps.select("doc_id", F.explode("bands").alias("band"))
     full = postings.groupBy("band").agg(F.count("*").alias("n")).where("n > 1")
     buckets = stash(postings.join(full, "band"), "buckets")
-    weight = buckets.groupBy("doc_id").agg(F.sum("n").alias("w"))
-    x, y, first_bits, bits = F.col("x.sig"), F.col("y.sig"), HASHES * BITS // 64, (HASHES * BITS + PARITY) // 64
-    differ = sum((F.bit_count(x[i].bitwiseXOR(y[i])) for i in range(first_bits + 1, bits)), F.bit_count(x[first_bits].bitwiseXOR(y[first_bits])))
     both = F.col("x.n_shingles") + F.col("y.n_shingles")
-    close = (differ * (100 + percent) <= both * (100 - percent)) & (similarity(x, y) >= percent / 100 - SLACK)
-
-    def linked_by(pairs: DataFrame) -> DataFrame:
-        near = pairs.join(short.alias("x"), F.col("u") == F.col("x.doc_id")).join(short.alias("y"), F.col("v") == F.col("y.doc_id")).where(close).select("u", "v")
-        return confirm(near, own, k, percent)
+    alike = similarity(F.col("x.sig"), F.col("y.sig")) >= percent / 100 - SLACK
+    close = (unequal_bits() * (100 + percent) <= both * (100 - percent)) & alike
 
-    ordered = lambda a, b: [F.least(a, b).alias("u"), F.greatest(a, b).alias("v")]
-    hubs = buckets.join(weight, "doc_id").groupBy("band").agg(F.max(F.struct("w", (-F.col("doc_id")).alias("id"))).alias("h")).select("band", (-F.col("h.id")).alias("hub"))
+    # each member of a bucket meets the bucket's hub
+    weight = buckets.groupBy("doc_id").agg(F.sum("n").alias("w"))
+    central = F.max(F.struct("w", (-F.col("doc_id")).alias("id")))
+    hubs = buckets.join(weight, "doc_id").groupBy("band").agg(central.alias("h")).select("band", (-F.col("h.id")).alias("hub"))
     met = stash(buckets.join(hubs, "band"), "met")
-    near = stash(linked_by(met.where("doc_id <> hub").select(*ordered("doc_id", "hub")).distinct()), "links")
+    pairs = met.where("doc_id <> hub").select(*ordered("doc_id", "hub")).distinct()
+    x, y = short.alias("x"), short.alias("y")
+    pairs = pairs.join(x, F.col("u") == F.col("x.doc_id")).join(y, F.col("v") == F.col("y.doc_id")).where(close).select("u", "v")
+    near = stash(confirm(pairs, own, k, percent), "links")
     edges = near.unionByName(repeated)
     labels = components(edges)
-    at = lambda c: labels.select(F.col("id").alias(c), F.col("component").alias(f"{c}_in"))
-    # a doc_id of several texts has several sets, so its links tell nothing of distances
+
+    # which members are in their hub's component, and which link to the hub itself; a doc_id of several texts has several
+    # sets, so its links tell nothing of distances
     once = of_doc.groupBy("doc_id").agg(F.count("*").alias("n")).where("n = 1")
-    single = lambda c: once.select(F.col("doc_id").alias(c))
-    linked = near.join(single("u"), "u", "left_semi").join(single("v"), "v", "left_semi").select("u", "v").unionByName(once.select(F.col("doc_id").alias("u"), F.col("doc_id").alias("v"))).distinct().withColumn("direct", F.lit(True))
-    inside = met.join(at("doc_id"), "doc_id", "left").join(at("hub"), "hub", "left").select("band", "doc_id", "hub", F.coalesce("doc_id_in", "doc_id").alias("c"), F.coalesce("hub_in", "hub").alias("hub_c"), *ordered("doc_id", "hub"))
-    inside = inside.join(linked, ["u", "v"], "left").select("band", "doc_id", "hub", "c", "hub_c", F.coalesce("direct", F.lit(False)).alias("direct"))
-    inside = stash(inside, "inside")
-    outside = inside.where("c <> hub_c").select("band", "doc_id", "hub", "c")
+    as_u, as_v = once.select(F.col("doc_id").alias("u")), once.select(F.col("doc_id").alias("v"))
+    sure = near.join(as_u, "u", "left_semi").join(as_v, "v", "left_semi").select("u", "v")
+    itself = once.select(F.col("doc_id").alias("u"), F.col("doc_id").alias("v"))
+    sure = sure.unionByName(itself).distinct().withColumn("direct", F.lit(True))
+    at = lambda c: labels.select(F.col("id").alias(c), F.col("component").alias(f"{c}_in"))
+    inside = met.join(at("doc_id"), "doc_id", "left").join(at("hub"), "hub", "left")
+    inside = inside.withColumns({"c": F.coalesce("doc_id_in", "doc_id"), "hub_c": F.coalesce("hub_in", "hub")})
+    inside = inside.select("band", "doc_id", "hub", "c", "hub_c", *ordered("doc_id", "hub")).join(sure, ["u", "v"], "left")
+    inside = stash(inside.select("band", "doc_id", "hub", "c", "hub_c", F.coalesce("direct", F.lit(False)).alias("direct")), "inside")
 
+    # the others meet the rest of their buckets, but for what their distance from the hub rules out
+    outside = inside.where("c <> hub_c").select("band", "doc_id", "hub", "c")
+    far = unequal_bits() * percent > both * (100 - percent)
+    late = outside.alias("o").join(x, F.col("o.doc_id") == F.col("x.doc_id")).join(y, F.col("o.hub") == F.col("y.doc_id"))
+    late = late.select("o.band", "o.doc_id", "o.c", "x.n_shingles", "x.sig", far.alias("far"))
     every = inside.select("band", "doc_id", "c", "direct").join(outside.select("band").distinct(), "band", "left_semi").join(short, "doc_id")
-    whole_pair = lambda c: outside.alias("o").join(short.alias("x"), F.col("o.doc_id") == F.col("x.doc_id")).join(short.alias("y"), F.col("o.hub") == F.col("y.doc_id")).select("o.band", "o.doc_id", "o.c", "x.n_shingles", "x.sig", c.alias("far"))
-    late = whole_pair(differ * percent > both * (100 - percent))
-    met_by = lambda late, every: late.alias("x").join(every.alias("y"), (F.col("x.band") == F.col("y.band")) & (F.col("x.c") != F.col("y.c")) & close).select(*ordered(F.col("x.doc_id"), F.col("y.doc_id")))
-    rest = met_by(late, every.where("not direct")).unionByName(met_by(late.where("not far"), every.where("direct"))).distinct()
+
+    def meet(late: DataFrame, every: DataFrame) -> DataFrame:
+        apart = (F.col("x.band") == F.col("y.band")) & (F.col("x.c") != F.col("y.c"))
+        return late.alias("x").join(every.alias("y"), apart & close).select(*ordered(F.col("x.doc_id"), F.col("y.doc_id")))
+
+    rest = meet(late, every.where("not direct")).unionByName(meet(late.where("not far"), every.where("direct"))).distinct()
     labels = components(edges.unionByName(confirm(rest, own, k, percent)))
 
     by_doc = of_doc.join(labels, of_doc.rep == labels.id, "left").groupBy("doc_id").agg(F.min(F.coalesce("component", "rep")).alias("component_id"))
