@@ -206,15 +206,18 @@ def near_duplicates(documents: DataFrame, k: int = 5, percent: int = 80) -> Data
     itself = once.select(F.col("doc_id").alias("u"), F.col("doc_id").alias("v"))
     sure = sure.unionByName(itself).distinct().withColumn("direct", F.lit(True))
     at = lambda c: labels.select(F.col("id").alias(c), F.col("component").alias(f"{c}_in"))
-    inside = met.join(at("doc_id"), "doc_id", "left").join(at("hub"), "hub", "left")
-    inside = inside.withColumns({"c": F.coalesce("doc_id_in", "doc_id"), "hub_c": F.coalesce("hub_in", "hub")})
+    # a hub's own figures reach the members by band: it is the hub of many bands, each of which has its members once
+    of_band = met.select("band", "hub").distinct().join(at("hub"), "hub", "left").select("band", "hub", F.coalesce("hub_in", "hub").alias("hub_c"))
+    inside = met.select("band", "doc_id").join(of_band, "band").join(at("doc_id"), "doc_id", "left")
+    inside = inside.withColumn("c", F.coalesce("doc_id_in", "doc_id"))
     inside = inside.select("band", "doc_id", "hub", "c", "hub_c", *ordered("doc_id", "hub")).join(sure, ["u", "v"], "left")
     inside = stash(inside.select("band", "doc_id", "hub", "c", "hub_c", F.coalesce("direct", F.lit(False)).alias("direct")), "inside")
 
     # the others meet the rest of their buckets, but for what their distance from the hub rules out
     outside = inside.where("c <> hub_c").select("band", "doc_id", "hub", "c")
     far = unequal_bits() * percent > both * (100 - percent)
-    late = outside.alias("o").join(x, F.col("o.doc_id") == F.col("x.doc_id")).join(y, F.col("o.hub") == F.col("y.doc_id"))
+    hub_sets = outside.select("band", "hub").distinct().join(short.withColumnRenamed("doc_id", "hub"), "hub").alias("y")
+    late = outside.alias("o").join(x, F.col("o.doc_id") == F.col("x.doc_id")).join(hub_sets, F.col("o.band") == F.col("y.band"))
     late = late.select("o.band", "o.doc_id", "o.c", "x.n_shingles", "x.sig", far.alias("far"))
     every = inside.select("band", "doc_id", "c", "direct").join(outside.select("band").distinct(), "band", "left_semi").join(short, "doc_id")
 
