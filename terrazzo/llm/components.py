@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from terrazzo.llm.common import stash
+from terrazzo.llm.common import drop, stash
 
 
 def _state(edges: DataFrame) -> tuple:
@@ -24,7 +24,8 @@ def components(edges: DataFrame) -> DataFrame:
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         joined = large.join(least, "u")
         small = joined.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(joined.select("u", F.col("m").alias("v")))
-        now = stash(small.where("u <> v").distinct(), "edges")
+        now, old = stash(small.where("u <> v").distinct(), "edges"), now
+        drop(old)
         before, state = state, _state(now)
         if state == before:
             break

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from terrazzo.llm.common import ASCII_LOWER, U64, blocks, mix, spaced, span_hashes, stash, utf8, word_spans
+from terrazzo.llm.common import ASCII_LOWER, U64, blocks, drop, mix, spaced, span_hashes, stash, utf8, word_spans
 from terrazzo.llm.components import components
 
 HASHES, BANDS, ROWS, BITS, SLACK, PARITY = 128, 32, 4, 4, 0.18, 512
@@ -227,6 +227,7 @@ def near_duplicates(documents: DataFrame, k: int = 5, percent: int = 80) -> Data
 
     rest = meet(late, every.where("not direct")).unionByName(meet(late.where("not far"), every.where("direct"))).distinct()
     labels = components(edges.unionByName(confirm(rest, own, k, percent)))
+    drop(buckets, met, near, inside)
 
     by_doc = of_doc.join(labels, of_doc.rep == labels.id, "left").groupBy("doc_id").agg(F.min(F.coalesce("component", "rep")).alias("component_id"))
     whole = signs.select("doc_id", "n_shingles").join(by_doc, "doc_id", "left").withColumn("component_id", F.coalesce("component_id", "doc_id"))
