@@ -65,3 +65,9 @@ def test_mosaic_refuses(spark):
     for kw, df in (({}, own.where("false")), ({"reference": 77}, own), ({"method": "median"}, own), ({"color_target": "x"}, own)):
         with pytest.raises(ValueError):
             mosaic_scenes(df, **kw)
+
+
+def test_versions():
+    import terrazzo
+
+    assert set(terrazzo.versions()) == {"terrazzo", "pyspark", "pyarrow", "numpy", "pandas"} and all(terrazzo.versions().values())
