@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from terrazzo.llm.common import ASCII_LOWER, U64, blocks, spaced, span_hashes, stash, utf8, word_spans
+from terrazzo.llm.common import ASCII_LOWER, U64, blocks, give_back, spaced, span_hashes, stash, utf8, word_spans
 
 BLOCK, RANK, WEIGHT, COSINE, SHARE, FREQUENT, PIECE = 32, 256, 10.0, 0.4, 0.6, 64, 1 << 13
 LARGEST = RANK - 8  # items of a round; more than the space has dimensions for would blur each other
@@ -159,6 +159,7 @@ def _summed(documents: DataFrame, part, size: int) -> np.ndarray:
             part(total, *utf8(batch.column("text")))
         for k in range(0, size, PIECE):
             yield pa.RecordBatch.from_arrays([pa.array([k // PIECE], pa.int32()), pa.array([total[k : k + PIECE].tobytes()], pa.binary())], ["k", "x"])
+        give_back()
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}
@@ -279,6 +280,7 @@ def search(documents: DataFrame, fitted: tuple[Items, np.ndarray] | None, room:
                         found[a + r].append(int(items.ids[i]))
                         best[a + r] = max(best[a + r], share)
             yield pa.RecordBatch.from_arrays([*map(batch.column, keys), pa.array([sorted(x) for x in found], pa.list_(pa.int64())), pa.array(best)], [*keys, "item_ids", "best"])
+        give_back()
 
     kinds = ", ".join(f"{c} {documents.schema[c].dataType.simpleString()}" for c in keys)
     return documents.mapInArrow(run, f"{kinds}, item_ids array<bigint>, best double")

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from terrazzo.llm.common import ASCII_LOWER, U64, blocks, drop, mix, spaced, span_hashes, stash, utf8, word_spans
+from terrazzo.llm.common import ASCII_LOWER, U64, blocks, drop, give_back, mix, spaced, span_hashes, stash, utf8, word_spans
 from terrazzo.llm.components import components
 
 HASHES, BANDS, ROWS, BITS, SLACK, PARITY = 128, 32, 4, 4, 0.18, 512
@@ -113,6 +113,7 @@ def signed(k: int):
             full = pa.array(size == 0)
             lists = lambda x: pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * x.shape[1]), pa.array(x.view(np.int64).ravel()), mask=full)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(size), *(pa.array(keys[:, j].copy().view(np.int64), mask=size == 0) for j in (0, 1)), lists(bands), lists(sig)], ["doc_id", "n_shingles", "k1", "k2", "bands", "sig"])
+        give_back()
 
     return run
 
@@ -145,6 +146,7 @@ def confirmed(k: int, percent: int):
                 keep.append(bool(most) and 100 * both >= percent * (len(x) + len(y) - both))
             keep = np.array(keep, bool)
             yield pa.RecordBatch.from_arrays([pa.array(u[keep]), pa.array(v[keep])], ["u", "v"])
+        give_back()
 
     return run
 
