@@ -155,10 +155,14 @@ def letters(column: pa.Array) -> np.ndarray:
 def fit(documents: DataFrame, labelled: Column, per_language: int = SAMPLE, largest: int = LARGEST) -> Model | None:
     """The model of the bounded sample that the module's description names; None without labelled rows."""
     rows = documents.where(labelled & F.col("lang").isNotNull() & (F.octet_length("text") > 0))
-    order = Window.partitionBy("lang").orderBy("h", "doc_id", "text")
-    picked = rows.select("lang", "doc_id", F.substring("text", 1, largest).alias("text"), F.xxhash64("doc_id").alias("h")).withColumn("n", F.row_number().over(order)).where(F.col("n") <= per_language)
+    rows = rows.select("lang", "text", F.struct(F.xxhash64("doc_id").alias("h"), F.col("doc_id"), F.xxhash64("text").alias("t")).alias("place"))
+    first = F.row_number().over(Window.partitionBy("lang").orderBy("place"))
+    # places alone tell how far each language's sample reaches, a row for each language; only its texts are then shuffled
+    reach = rows.select("lang", "place").withColumn("n", first).where(F.col("n") <= per_language).groupBy("lang").agg(F.max("place").alias("last"))
+    picked = rows.join(F.broadcast(reach), "lang").where("place <= last").withColumn("n", first).where(F.col("n") <= per_language)
+    picked = picked.select("lang", F.substring("text", 1, largest).alias("text"))
     sample: dict[str, list[bytes]] = {}
-    for row in picked.select("lang", "text").toLocalIterator():
+    for row in picked.toLocalIterator():
         sample.setdefault(row.lang, []).append(row.text.encode())
     return Model(sample) if sample else None
 
