@@ -231,7 +231,9 @@ def encode_documents(documents: DataFrame, path: str, pattern: str, keep_ids: bo
                 back = c.decode(ids)
                 columns = [batch.column("doc_id").slice(a, b - a)]
                 if keep_ids:
-                    columns.append(pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int32)), pa.array(np.concatenate([*ids, np.zeros(0, np.int32)]).astype(np.int32))))
+                    ends = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int32)
+                    flat = np.concatenate([*ids, np.zeros(0, np.int32)]).astype(np.int32)
+                    columns.append(pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)))
                 columns += [
                     pa.array([len(x) for x in ids], pa.int64()),
                     pa.array([hashlib.sha256(s.encode()).hexdigest() for s in said]),

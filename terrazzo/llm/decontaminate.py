@@ -270,7 +270,9 @@ def search(documents: DataFrame, fitted: tuple[Items, np.ndarray] | None, room:
                 z /= np.sqrt(np.einsum("ij,ij->i", z, z)).clip(1e-9)[:, None]
                 passage, item = np.nonzero(z @ latent.T >= COSINE)
                 row = np.searchsorted(first, passage, "right") - 1
-                around = ((r, i, max(upto[r], at - room), min(upto[r + 1], at + 2 * BLOCK + room)) for p, i, r in zip(passage.tolist(), item.tolist(), row.tolist(), strict=True) for at in [upto[r] + (p - first[r]) * BLOCK])
+                begin = upto[row] + (passage - first[row]) * BLOCK
+                lo, hi = np.maximum(upto[row], begin - room), np.minimum(upto[row + 1], begin + 2 * BLOCK + room)
+                around = zip(row.tolist(), item.tolist(), lo.tolist(), hi.tolist(), strict=True)
                 for r, i, lo, hi in chain(around, items.near(number, upto)):
                     if items.ids[i] in found[a + r]:
                         continue

@@ -189,7 +189,8 @@ def identify(documents: DataFrame, model: Model | None) -> DataFrame:
                 lens = np.maximum(1, np.diff(offsets))
                 pred = np.where(known, np.array(m.langs, object)[best], UNKNOWN)
                 score, rate = np.where(known, post, 0.0), np.where(known, least / lens, np.nan)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(pred, pa.string()), pa.array(score), pa.array(rate, mask=~known | (m is None))], [*batch.schema.names, "lang_pred", "score", "bits_per_byte"])
+            made = [pa.array(pred, pa.string()), pa.array(score), pa.array(rate, mask=~known | (m is None))]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *made], [*batch.schema.names, "lang_pred", "score", "bits_per_byte"])
         give_back()
 
     plain = documents.drop("lang_pred", "score", "bits_per_byte")

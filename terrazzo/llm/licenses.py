@@ -76,7 +76,8 @@ def scan(documents: DataFrame, templates: dict[str, str] = TEMPLATES, threshold:
         rare |= {vocabulary[r - 1] for r in prefix}
         own = lambda ranks: F.array(*(F.lit(vocabulary[r - 1]) for r in ranks))
         length = max(LEAST, 2 * len(text.split()))
-        rows.append(F.struct(F.lit(label).alias("label"), F.lit(need).alias("need"), F.lit(len(ranks)).alias("size"), F.lit(length).alias("length"), own(prefix).alias("prefix"), own(ranks).alias("words")))
+        numbers = {"label": label, "need": need, "size": len(ranks), "length": length}
+        rows.append(F.struct(*(F.lit(v).alias(k) for k, v in numbers.items()), own(prefix).alias("prefix"), own(ranks).alias("words")))
     all_templates = F.array(*rows)
 
     text = F.coalesce("text", F.lit(""))

@@ -78,7 +78,10 @@ def line_nodes(documents: DataFrame, levels: DataFrame, percent: int) -> DataFra
     sets = lines.withColumn("levels", levels.scalar()).withColumn("toks", token_set(F.col("line"), F.col("levels"))).drop("levels", "line")
     size = F.size("toks")
     prefix = F.slice("toks", F.lit(1), size - F.floor((size * percent + 99) / 100).cast("int") + 1)
-    wide = sets.select(F.xxhash64("toks").alias("h"), F.xxhash64(F.lit(1), "toks").alias("h2"), F.struct("doc_id", "n", "row").alias("place"), F.struct(size.alias("size"), parity(F.col("toks"), 0).alias("bits"), parity(F.col("toks"), 1).alias("more"), prefix.alias("prefix")).alias("set"))
+    bits, more = (parity(F.col("toks"), half) for half in (0, 1))
+    own = F.struct(size.alias("size"), bits.alias("bits"), more.alias("more"), prefix.alias("prefix")).alias("set")
+    place = F.struct("doc_id", "n", "row").alias("place")
+    wide = sets.select(F.xxhash64("toks").alias("h"), F.xxhash64(F.lit(1), "toks").alias("h2"), place, own)
     nodes = wide.groupBy("h", "h2").agg(F.min("place").alias("place"), F.count("*").alias("lines"), F.first("set").alias("set"))
     return nodes.select("h", "place.*", "lines", "set.*")
 
@@ -185,7 +188,8 @@ def dedup_lines(documents: DataFrame, percent: int = 80) -> DataFrame:
     drop(levels, nodes, similar)
 
     rows = documents.select(F.struct(*others, F.col("text")).alias("d"), F.xxhash64("text").alias("row")).alias("x")
-    rows = rows.join(kept.alias("y"), (F.col("x.row") == F.col("y.row")) & F.col("x.d.doc_id").eqNullSafe(F.col("y.doc_id")), "left").select("d", "own").withColumn("lines", split_lines(F.col("d.text")))
+    same = (F.col("x.row") == F.col("y.row")) & F.col("x.d.doc_id").eqNullSafe(F.col("y.doc_id"))
+    rows = rows.join(kept.alias("y"), same, "left").select("d", "own").withColumn("lines", split_lines(F.col("d.text")))
     every = F.sequence(F.lit(0), F.size("lines") - 1)
     blank = F.filter(every, lambda i: is_blank(F.get("lines", i)))
     stay = F.sort_array(F.array_union(F.array_intersect(every, F.coalesce("own", F.expr("cast(array() as array<int>)"))), blank))

@@ -2,15 +2,16 @@
 
 Signing: words are split at ASCII white space, A-Z lower-cased; a document's set holds its distinct k-word shingles as
 64-bit hashes, which are compared within pairs only; a class of equal sets goes by a 128-bit cryptographic hash of the sorted
-set, and pairs are confirmed with shingle hashes of another seed. HASHES minima make BANDS band keys of ROWS minima each, and their low BITS bits are packed into a signature.
-Equal sets form a class first, which stands for its members. A band's bucket then links each member to the bucket's most
-central one (the member whose buckets are the fullest), so a group of n copies gives n candidates and not n squared; members
-that stay outside their hub's component then meet those of the bucket that are in other components, but for members that
-link to the hub directly if the outsider is too far from it: Jaccard distance is a metric, so what is further than twice the
-allowed distance from the hub (by a lower bound, from bitmaps) cannot be near to what is within it. Candidates whose collision-corrected similarity, by bit counts, is more than SLACK below the threshold are
-dropped (about five standard deviations), as are those whose parity bitmaps (a bit flipped for each shingle) differ in more
-bits than similar sets can differ in shingles; the others are confirmed on full sets. A pair at the threshold shares no
-band with probability (1 - 0.8**4)**32 = 5e-8.
+set, and pairs are confirmed with shingle hashes of another seed. HASHES minima make BANDS band keys of ROWS minima each, and their low BITS bits are packed into a signature. Equal sets
+form a class first, which stands for its members. A band's bucket then links each member to the bucket's most central one
+(the member whose buckets are the fullest), so a group of n copies gives n candidates and not n squared; members that stay
+outside their hub's component then meet those of the bucket that are in other components, but for members that link to the
+hub directly if the outsider is too far from it: Jaccard distance is a metric, so what is further than twice the allowed
+distance from the hub (by a lower bound, from bitmaps) cannot be near to what is within it. Candidates whose
+collision-corrected similarity, by bit counts, is more than SLACK below the threshold are dropped (about five standard
+deviations), as are those whose parity bitmaps (a bit flipped for each shingle) differ in more bits than similar sets can
+differ in shingles; the others are confirmed on full sets. A pair at the threshold shares no band with probability
+(1 - 0.8**4)**32 = 5e-8.
 
 Defined results: a text without words (or null) has an empty set and links with nothing; a text of fewer than k words has one
 shingle, the whole sequence; a text of any length is taken whole; doc_id has to be a bigint; documents are identified by doc_id, so rows that repeat a doc_id share a component; a null
@@ -112,7 +113,9 @@ def signed(k: int):
             flush()
             full = pa.array(size == 0)
             lists = lambda x: pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * x.shape[1]), pa.array(x.view(np.int64).ravel()), mask=full)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(size), *(pa.array(keys[:, j].copy().view(np.int64), mask=size == 0) for j in (0, 1)), lists(bands), lists(sig)], ["doc_id", "n_shingles", "k1", "k2", "bands", "sig"])
+            ids = [pa.array(keys[:, j].copy().view(np.int64), mask=size == 0) for j in (0, 1)]
+            columns = [batch.column("doc_id"), pa.array(size), *ids, lists(bands), lists(sig)]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_shingles", "k1", "k2", "bands", "sig"])
         give_back()
 
     return run

@@ -108,7 +108,9 @@ def anchored(length: int, gram: int):
                 if at[-1] - at[0] >= length:
                     row, lo, hi, anchor, *hashes = anchors(data[at[0] : at[-1]], at - at[0], length, gram)
                     own = pa.array(a + row)
-                    yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(own), batch.column("row").take(own), *(pa.array((base + x).astype(np.int32)) for x in (lo, hi, anchor)), *(pa.array(x.view(np.int64)) for x in hashes)], ["doc_id", "row", "lo", "hi", "at", "key", "c1", "c2"])
+                    places = [pa.array((base + x).astype(np.int32)) for x in (lo, hi, anchor)]
+                    columns = [batch.column("doc_id").take(own), batch.column("row").take(own), *places, *(pa.array(x.view(np.int64)) for x in hashes)]
+                    yield pa.RecordBatch.from_arrays(columns, ["doc_id", "row", "lo", "hi", "at", "key", "c1", "c2"])
 
     return run
 
@@ -278,7 +280,9 @@ def removed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             kept.append(body[upto:])
             rows.append((len(body), sum(e - s for s, e in runs), len(runs), b"".join(kept)))
         cols = [pa.array([r[j] for r in rows], pa.int64()) for j in range(3)]
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *cols, pa.array([hashlib.sha256(r[3]).hexdigest() for r in rows], pa.string()), pa.array([r[3] for r in rows], pa.binary())], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
+        digests = pa.array([hashlib.sha256(r[3]).hexdigest() for r in rows], pa.string())
+        columns = [batch.column("doc_id"), *cols, digests, pa.array([r[3] for r in rows], pa.binary())]
+        yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
 
 def same_row(x: str, y: str) -> Column:
     return (F.col(f"{x}.row") == F.col(f"{y}.row")) & F.col(f"{x}.doc_id").eqNullSafe(F.col(f"{y}.doc_id"))
@@ -302,7 +306,8 @@ def repeated_spans(contexts: DataFrame, docs: DataFrame, length: int, gram: int)
     while True:
         kinds = own.groupBy("key").agg(F.count("*").alias("kinds")).where("kinds > 1")
         several = stash(own.join(kinds, "key"), "several")
-        bodies = with_texts(several.where(F.col("kinds") <= SPLIT)).select("text", "wanted").mapInArrow(cut_out(length), "key bigint, p1 bigint, p2 bigint, off int, body binary, full boolean")
+        few = with_texts(several.where(F.col("kinds") <= SPLIT)).select("text", "wanted")
+        bodies = few.mapInArrow(cut_out(length), "key bigint, p1 bigint, p2 bigint, off int, body binary, full boolean")
         ordered = bodies.repartition(parts, "key").sortWithinPartitions("key").mapInArrow(sorted_out(length), "p1 bigint, p2 bigint, spans array<struct<s: int, e: int>>")
         found.append(stash(ordered, "spans"))
         hot = several.where(F.col("kinds") > SPLIT)
@@ -331,10 +336,13 @@ def remove_repeats(documents: DataFrame, length: int = LENGTH, gram: int = GRAM)
     places = stash(found.join(again, "key"), "places")
     contexts = stash(places.groupBy("key", "c1", "c2").agg(F.count("*").alias("c"), F.min(F.struct("doc_id", "row", "lo", "hi", "at")).alias("one")), "contexts")
     partial = repeated_spans(contexts, docs, length, gram)
-    whole = contexts.where("c > 1").select(F.col("c1").alias("p1"), F.col("c2").alias("p2"), F.array(F.struct(F.lit(0).alias("s"), (F.col("one.hi") - F.col("one.lo") + length).alias("e"))).alias("spans"))
+    everything = F.array(F.struct(F.lit(0).alias("s"), (F.col("one.hi") - F.col("one.lo") + length).alias("e")))
+    whole = contexts.where("c > 1").select(F.col("c1").alias("p1"), F.col("c2").alias("p2"), everything.alias("spans"))
     spans = whole.unionByName(partial)
     moved = F.transform("spans", lambda x: F.struct((F.col("lo") + x["s"]).alias("s"), (F.col("lo") + x["e"]).alias("e")))
     by_doc = places.join(spans, (F.col("c1") == F.col("p1")) & (F.col("c2") == F.col("p2"))).groupBy("doc_id", "row").agg(F.flatten(F.collect_list(moved)).alias("spans"))
     by_doc = stash(by_doc, "by-doc")
     drop(again, places, contexts, partial)
-    return docs.alias("x").join(by_doc.alias("y"), same_row("x", "y"), "left").select("x.doc_id", "text", "spans").mapInArrow(removed, f"doc_id {kind}, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, kept binary")
+    marked = docs.alias("x").join(by_doc.alias("y"), same_row("x", "y"), "left").select("x.doc_id", "text", "spans")
+    names = f"doc_id {kind}, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, kept binary"
+    return marked.mapInArrow(removed, names)

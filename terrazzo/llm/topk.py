@@ -32,7 +32,8 @@ def quantise(vectors: DataFrame, scale: int = 64) -> DataFrame:
     fit = F.col("vec_id").isNotNull() & F.col("embedding").isNotNull() & F.coalesce(F.forall(values, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf"))), F.lit(False))
     large = F.exists(values, lambda v: F.abs(v * scale) > 2.0**62)
     whole = F.transform(values, lambda v: F.floor(v * scale))
-    return vectors.where(fit).select("vec_id", F.when(large, F.raise_error(F.lit("a component is too large for integer scores"))).otherwise(whole).alias("x")).groupBy("vec_id").agg(F.max("x").alias("x"))
+    checked = F.when(large, F.raise_error(F.lit("a component is too large for integer scores"))).otherwise(whole)
+    return vectors.where(fit).select("vec_id", checked.alias("x")).groupBy("vec_id").agg(F.max("x").alias("x"))
 
 
 def narrow(x: np.ndarray) -> np.ndarray:
@@ -58,7 +59,9 @@ def _packed(rows: DataFrame, blocks: int, prefix: str) -> DataFrame:
         dense[np.arange(dense.shape[1])[None, :] < lens[:, None]] = lists.flatten().to_numpy(zero_copy_only=False)
         ids = t.column("vec_id").to_numpy().astype(np.int64)
         dense = narrow(dense)
-        return pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([ids.tobytes()], pa.binary()), pa.array([dense.tobytes()], pa.binary()), pa.array([dense.shape[1]], pa.int32()), pa.array([dense.itemsize], pa.int32())], names)
+        arrays = [pa.array([x], pa.binary()) for x in (ids.tobytes(), dense.tobytes())]
+        sizes = [pa.array([n], pa.int32()) for n in (dense.shape[1], dense.itemsize)]
+        return pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), *arrays, *sizes], names)
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
