@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from terrazzo.llm.common import give_back
 
 #: Bytes of a long word and of its windows' overlap; words that a worker remembers; characters handled at once.
-LONG, OVERLAP, CACHED, CHUNK = 512, 128, 120_000, 1 << 20
+LONG, OVERLAP, CACHED, CHUNK = 512, 128, 300_000, 1 << 20
 
 #: A row holds its token, the next row's token and position; a word whose rows find no merge is finished.
 CONTRACT = """
