@@ -53,6 +53,20 @@ def test_files(spark, tmp_path):
     assert sorted((x.x, x.y, x.b1, x.b2, x.b3) for x in got) == sorted((x, y, *map(int, data[:, 5 + y, 10 + x])) for x in range(20) for y in range(10))
 
 
+@pytest.mark.parametrize(("side", "block"), [(16, 16), (20, 32), (600, 512)])
+def test_small_tiles_have_small_blocks(spark, side, block):
+    """Small tiles were packed as whole blocks of 512 x 512 pixels."""
+    own = spark.createDataFrame([(1, x, y, 7 * x + y) for x in (0, 3, 19, 45) for y in (0, 18, 40)], "scene_id bigint, x bigint, y bigint, b1 bigint")
+    made = raster.tiles(own, ["scene_id"], ["b1"], side=side, compression=raster.NONE).collect()
+    got = set()
+    for t in made:
+        _, tags = raster.directory(bytes(t.content))
+        assert (tags[raster.WIDTH], tags[raster.TILE_W], tags[raster.TILE_H]) == ([side], [block], [block])
+        data = raster.decode(bytes(t.content)).data[0]
+        got |= {(int(x) + side * t.tile_x, int(y) + side * t.tile_y, int(data[y, x])) for y, x in zip(*data.nonzero(), strict=True)}
+    assert got == {(r.x, r.y, r.b1) for r in own.collect() if r.b1}
+
+
 def test_saved_tables_open_only_their_tiles(spark, tmp_path):
     own = views.px(spark, DATA)
     raster.save(own, str(tmp_path / "t"), ["scene_id"], side=16)
