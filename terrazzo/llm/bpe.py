@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from terrazzo.llm.common import give_back
 
 #: Bytes of a long word and of its windows' overlap; words that a worker remembers; characters handled at once.
-LONG, OVERLAP, CACHED, CHUNK = 512, 128, 300_000, 1 << 20
+LONG, OVERLAP, CACHED, CHUNK = 512, 128, 300_000, 1 << 19
 
 #: A row holds its token, the next row's token and position; a word whose rows find no merge is finished.
 CONTRACT = """
@@ -69,23 +69,37 @@ class Coder:
         with open(path, "rb") as f:
             self.ranks = {base64.b64decode(a): int(b) for a, b in (line.split() for line in f if line.strip())}
         self.split = regex.compile(pattern).findall
-        # spills go to the task's own temporary folder
-        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "256MB", "temp_directory": f"{tempfile.gettempdir()}/duckdb-{os.getpid()}"})
         ranks = self.ranks
         found = [(ranks[t[:i]], ranks[t[i:]], r) for t, r in ranks.items() for i in range(1, len(t)) if t[:i] in ranks and t[i:] in ranks]
         a, b, merged = (pa.array(x, pa.int32()) for x in zip(*found, strict=True))
-        self.db.register("m_", pa.table({"a": a, "b": b, "merged": merged}))
-        self.db.execute("create table merges as select * from m_")
+        self.tables = {"merges": pa.table({"a": a, "b": b, "merged": merged})}
         texts = {r: t.decode("latin-1") for t, r in ranks.items()}
-        self.db.register("v_", pa.table({"id": pa.array(list(texts), pa.int32()), "chars": pa.array([x.replace("\0", "Ā") for x in texts.values()])}))
-        self.db.execute("create table vocabulary as select * from v_")
+        self.tables["vocabulary"] = pa.table({"id": pa.array(list(texts), pa.int32()), "chars": pa.array([x.replace("\0", "Ā") for x in texts.values()])})
+        self.opened: duckdb.DuckDBPyConnection | None = None
         self.of_byte = np.array([ranks.get(bytes([i]), -1) for i in range(256)], np.int32)
         self.bytes_of = {r: t for t, r in ranks.items()}
+        self.decimal = np.array([str(r) for r in range(max(ranks.values()) + 1)], object)
         self.forget()
 
+    @property
+    def db(self) -> duckdb.DuckDBPyConnection:
+        if self.opened is None:
+            # spills go to the task's own temporary folder
+            self.opened = duckdb.connect(config={"threads": 1, "memory_limit": "256MB", "temp_directory": f"{tempfile.gettempdir()}/duckdb-{os.getpid()}"})
+            for name, rows in self.tables.items():
+                self.opened.register("rows_", rows)
+                self.opened.execute(f"create table {name} as select * from rows_")
+                self.opened.unregister("rows_")
+        return self.opened
+
+    def rest(self) -> None:
+        """Closes the database, which keeps tens of MB that it no longer uses, until the next task; known words stay."""
+        if self.opened is not None:
+            self.opened.close()
+            self.opened = None
+
     def forget(self) -> None:
         self.number: dict[str, int] = {}
-        self.said: list[str] = []
         self.flat, self.ends = np.zeros(1 << 16, np.int32), np.zeros(1 << 16, np.int64)  # ids of all known words, one after the other
 
     def contract(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -168,10 +182,6 @@ class Coder:
         self.flat[used : used + len(ids)] = ids
         self.ends[known : known + len(new)] = used + np.cumsum(counts)
         self.number.update((new[i], known + k) for k, i in enumerate(short + long))
-        said, a = list(map(str, ids.tolist())), 0
-        for n in counts.tolist():
-            self.said.append(" ".join(said[a : a + n]))
-            a += n
 
     @staticmethod
     def _room(x: np.ndarray, n: int) -> np.ndarray:
@@ -188,7 +198,7 @@ class Coder:
             starts = np.where(at > 0, self.ends[at - 1], 0)
             lens = self.ends[at] - starts
             ids.append(self.flat[np.repeat(starts - np.cumsum(lens) + lens, lens) + np.arange(lens.sum())])
-            said.append(" ".join(map(self.said.__getitem__, numbers)))
+            said.append(" ".join(self.decimal[ids[-1]].tolist()))
         return ids, said
 
     def decode(self, ids: list[np.ndarray]) -> list[bytes]:
@@ -242,6 +252,7 @@ def encode_documents(documents: DataFrame, path: str, pattern: str, keep_ids: bo
                 ]
                 yield pa.RecordBatch.from_arrays(columns, ["doc_id", *["ids"] * keep_ids, "n_tokens", "ids_sha256", "decoded_sha256", "round_trip"])
                 a = b
+        c.rest()
         give_back()
 
     kind = documents.schema["doc_id"].dataType.simpleString()
