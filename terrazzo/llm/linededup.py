@@ -2,13 +2,14 @@
 
 A line's set holds its distinct lower-cased tokens (split at white space) as 64-bit codes, ordered by rarity: a code's upper
 bits are the logarithm of the frequency, over the whole corpus, of the token's bucket (a table of BUCKETS counts, one byte
-each). Lines of equal sets form a node (two 64-bit hashes of the set), which stands at its earliest place. A node is indexed
-under its prefix, the size - ceil(size * percent / 100) + 1 rarest tokens. Two nodes that share a prefix token are candidates
-if their sizes allow it (length), if enough tokens remain from the shared one onwards (position), and if their parity bitmaps
-differ in no more bits than similar sets can differ in tokens. In each token's list a node meets the HUBS nodes of the most
-lines (of a group of variants, those that most copies share); its candidate with the closest bitmap is verified on the lines
-themselves. The nodes that this does not settle then meet all earlier nodes of their lists, and every candidate is verified.
-So a group of n variants of one line costs about HUBS * n candidates, and nothing is missed.
+each; a token counts once a line). Texts are split once, into a table of each line's token hashes, which is counted and then
+made into sets. Lines of equal sets form a node (two 64-bit hashes of the set), which stands at its earliest place. A node is
+indexed under its prefix, the size - ceil(size * percent / 100) + 1 rarest tokens. Two nodes that share a prefix token are
+candidates if their sizes allow it (length), if enough tokens remain from the shared one onwards (position), and if their
+parity bitmaps differ in no more bits than similar sets can differ in tokens. In each token's list a node meets the HUBS nodes
+of the most lines (of a group of variants, those that most copies share); its candidate with the closest bitmap is verified on
+the lines themselves. The nodes that this does not settle then meet all earlier nodes of their lists, and every candidate is
+verified. So a group of n variants of one line costs about HUBS * n candidates, and nothing is missed.
 
 A line goes if an earlier line (by doc_id, then line number) has a similar set, whether or not that one goes as well.
 
@@ -21,6 +22,8 @@ gives no rows.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -46,44 +49,49 @@ def is_blank(line: Column) -> Column:
     return F.btrim(line, F.lit(SPACE)) == ""
 
 
-def rarity(documents: DataFrame) -> DataFrame:
+def line_tokens(documents: DataFrame) -> DataFrame:
+    """doc_id, n, row (a hash of the text), h, h2 (two hashes of the line's token set), toks (64-bit hashes of its distinct tokens), as a table: a row
+    for each line that holds tokens. Texts are split into tokens here, and again only to verify."""
+    lines = documents.select("doc_id", F.xxhash64("text").alias("row"), F.posexplode(split_lines(F.col("text"))).alias("n", "line")).where(~is_blank(F.col("line")))
+    hashes = F.transform(F.array_remove(split_tokens(F.col("line")), ""), lambda t: F.xxhash64(t))
+    sets = lines.select("doc_id", "n", "row", F.array_distinct(hashes).alias("toks")).withColumn("set", F.sort_array("toks"))
+    return stash(sets.select("doc_id", "n", "row", F.xxhash64("set").alias("h"), F.xxhash64(F.lit(1), "set").alias("h2"), "toks"), "line-tokens")
+
+
+def rarity(lines: DataFrame) -> DataFrame:
     """One row of one array: the frequency class (0 to 63, the logarithm to a base of the square root of 2) of each bucket."""
-    text = F.replace(F.coalesce("text", F.lit("")), F.lit("\n"), F.lit(" "))
-    token = documents.select(F.explode(split_tokens(text)).alias("t")).where("t <> ''")
-    counts = token.groupBy(F.xxhash64("t").bitwiseAND(F.lit(BUCKETS - 1)).alias("b")).agg(F.count("*").alias("c"))
+    token = lines.select(F.explode("toks").alias("t"))
+    counts = token.groupBy(F.col("t").bitwiseAND(F.lit(BUCKETS - 1)).alias("b")).agg(F.count("*").alias("c"))
     level = F.least(F.lit(63), F.floor(2 * F.log2(F.coalesce("c", F.lit(1))))).cast("byte")
-    every = documents.sparkSession.range(BUCKETS).join(counts, F.col("id") == F.col("b"), "left")
+    every = lines.sparkSession.range(BUCKETS).join(counts, F.col("id") == F.col("b"), "left")
     row = F.sort_array(F.collect_list(F.struct(F.col("id").cast("int"), level.alias("level"))))
     return stash(every.agg(row.alias("x")).select(F.transform("x", lambda e: e.level).alias("levels")), "line-rarity")
 
 
-def token_set(line: Column, levels: Column) -> Column:
-    """Codes of the distinct tokens, rarest first."""
-    hashes = F.array_distinct(F.transform(F.array_remove(split_tokens(line), ""), lambda t: F.xxhash64(t)))
-    level = lambda h: F.coalesce(F.get(levels, h.bitwiseAND(F.lit(BUCKETS - 1)).cast("int")), F.lit(0).cast("byte"))
-    return F.sort_array(F.transform(hashes, lambda h: F.shiftleft(level(h).cast("long"), 57).bitwiseOR(F.shiftrightunsigned(h, 7))))
+def rarest_first(tokens: Column, levels: Column) -> Column:
+    """Codes of tokens, rarest first."""
+    level = lambda h: F.get(levels, h.bitwiseAND(F.lit(BUCKETS - 1)).cast("int")).cast("long")
+    code = lambda h: F.shiftleft(level(h), 57).bitwiseOR(F.shiftrightunsigned(h, 7))
+    return F.sort_array(F.transform(tokens, lambda h: F.coalesce(code(h), F.lit(0).cast("long"))))  # never null: longs that cannot be null sort fastest
 
 
-def parity(tokens: Column, half: int) -> Column:
-    """64 of 128 bits, one of which each token flips."""
-    one = lambda t: F.when(t.bitwiseAND(F.lit(64)) == 64 * half, 1).otherwise(0).cast("long")
+def parity(tokens: Column, one: Callable[[Column], Column]) -> Column:
+    """64 bits, of which each token flips one if `one` of it is 1, and none if it is 0."""
     return F.aggregate(tokens, F.lit(0).cast("long"), lambda acc, t: acc.bitwiseXOR(F.call_function("shiftleft", one(t), t.bitwiseAND(F.lit(63)).cast("int"))))
 
 
-def line_nodes(documents: DataFrame, levels: DataFrame, percent: int) -> DataFrame:
-    """h, doc_id, n (its earliest place), row (a hash of the text there), lines (how many), size, bits, more (128 bits of parity), prefix: a row for each
-    distinct token set."""
-    lines = documents.select("doc_id", F.xxhash64("text").alias("row"), F.posexplode(split_lines(F.col("text"))).alias("n", "line")).where(~is_blank(F.col("line")))
+def line_nodes(lines: DataFrame, levels: DataFrame, percent: int) -> DataFrame:
+    """h, doc_id, n (its earliest place), row (a hash of the text there), lines (how many), size, bits, more (128 bits of parity), prefix: a row for
+    each distinct token set."""
     # the table is a scalar sub-query: each task holds it once, and no row carries it
-    sets = lines.withColumn("levels", levels.scalar()).withColumn("toks", token_set(F.col("line"), F.col("levels"))).drop("levels", "line")
+    codes = lines.withColumn("levels", levels.scalar()).withColumn("codes", rarest_first(F.col("toks"), F.col("levels")))
     size = F.size("toks")
-    prefix = F.slice("toks", F.lit(1), size - F.floor((size * percent + 99) / 100).cast("int") + 1)
-    bits, more = (parity(F.col("toks"), half) for half in (0, 1))
+    prefix = F.slice("codes", F.lit(1), size - F.floor((size * percent + 99) / 100).cast("int") + 1)
+    bits, more = parity(F.col("toks"), lambda t: F.lit(1).cast("long")), parity(F.col("toks"), lambda t: F.shiftrightunsigned(t, 63))
     own = F.struct(size.alias("size"), bits.alias("bits"), more.alias("more"), prefix.alias("prefix")).alias("set")
-    place = F.struct("doc_id", "n", "row").alias("place")
-    wide = sets.select(F.xxhash64("toks").alias("h"), F.xxhash64(F.lit(1), "toks").alias("h2"), place, own)
+    wide = codes.select("h", "h2", F.struct("doc_id", "n", "row").alias("place"), own)
     nodes = wide.groupBy("h", "h2").agg(F.min("place").alias("place"), F.count("*").alias("lines"), F.first("set").alias("set"))
-    return nodes.select("h", "place.*", "lines", "set.*")
+    return nodes.select("h", "place.*", "lines", "set.size", F.col("set.bits").bitwiseXOR(F.col("set.more")).alias("bits"), "set.more", "set.prefix")
 
 
 def postings(nodes: DataFrame) -> DataFrame:
@@ -114,7 +122,8 @@ def candidate(percent: int) -> Column:
     both = x("size") + y("size")
     sized = 100 * F.least(x("size"), y("size")) >= percent * F.greatest(x("size"), y("size"))
     placed = (100 + percent) * F.least(x("size") - x("pos"), y("size") - y("pos")) >= percent * both
-    return earlier() & sized & placed & (differ() * (100 + percent) <= both * (100 - percent))
+    # in order of what most pairs fail by; the comparison of places costs most
+    return (differ() * (100 + percent) <= both * (100 - percent)) & placed & sized & earlier()
 
 
 def differ() -> Column:
@@ -181,8 +190,10 @@ def dedup_lines(documents: DataFrame, percent: int = 80) -> DataFrame:
     """All columns of documents, with `text` of the remaining lines, and n_lines, n_removed."""
     others = [F.col(f"`{c}`") for c in documents.columns if c not in ("text", "n_lines", "n_removed")]
     own = documents.select("doc_id", "text")
-    levels = rarity(own)
-    nodes = stash(line_nodes(own, levels, percent), "line-nodes")
+    lines = line_tokens(own)
+    levels = rarity(lines)
+    nodes = stash(line_nodes(lines, levels, percent), "line-nodes")
+    drop(lines)
     similar = similar_nodes(nodes, own, percent)
     kept = stash(without(nodes.select(*NODE, "row"), similar).groupBy("doc_id", "row").agg(F.collect_list("n").alias("own")), "line-kept")
     drop(levels, nodes, similar)

@@ -493,6 +493,19 @@ def test_line_dedup_keeps_clashing_columns(spark):
     assert sorted((tuple(r) for r in out.collect()), key=str) == sorted([("k", "a b c", *names, 2, 1), (None, None, *names, 1, 0)], key=str)
 
 
+def test_line_dedup_splits_texts_once(spark):
+    """Frequencies and sets come from one table of token hashes; no plan after it splits a text into tokens again."""
+    df = spark.createDataFrame([(1, "B a\ta b\n \nc"), (2, "b  A"), (3, None)], "doc_id bigint, text string")
+    lines = linededup.line_tokens(df)
+    got = {(r.doc_id, r.n): (len(r.toks), r.h, r.h2) for r in lines.collect()}
+    assert {k: v[0] for k, v in got.items()} == {(1, 0): 2, (1, 2): 1, (2, 0): 2} and got[1, 0] == got[2, 0] != got[1, 2]
+    levels = linededup.rarity(lines)
+    nodes = linededup.line_nodes(lines, levels, 80)
+    for made in (levels, nodes):
+        assert "split(" not in made._jdf.queryExecution().toString()
+    assert sorted((r.doc_id, r.n, r.lines, r["size"]) for r in nodes.collect()) == [(1, 0, 2, 2), (1, 2, 1, 1)]
+
+
 def test_line_dedup_of_a_group_of_variants(spark):
     """More variants of one line than hubs, most of them unlike each other; long lines and lists."""
     r = random.Random(3)
