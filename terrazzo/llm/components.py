@@ -18,15 +18,19 @@ def components(edges: DataFrame) -> DataFrame:
     now = stash(edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u <> v").distinct(), "edges")
     state = _state(now)
     while state[0]:
-        both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        # each row is read as few times as it can be: a round's plan is short, and so is what the driver holds of it
+        least = ends(now).groupBy("id").agg(F.min("v").alias("m")).select("id", F.least("id", "m").alias("m"))
+        large = now.join(least, F.col("v") == F.col("id")).select("u", F.col("m").alias("v"))
         least = large.groupBy("u").agg(F.min("v").alias("m"))
-        joined = large.join(least, "u")
-        small = joined.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(joined.select("u", F.col("m").alias("v")))
+        small = large.join(least, "u").select(F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct("u", F.col("m").alias("v")))).alias("e")).select("e.*")
         now, old = stash(small.where("u <> v").distinct(), "edges"), now
         drop(old)
         before, state = state, _state(now)
         if state == before:
             break
-    return now.groupBy(F.col("u").alias("id")).agg(F.min("v").alias("component")).unionByName(now.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct())
+    return now.select(F.explode(F.array(F.struct(F.col("u").alias("id"), "v"), F.struct(F.col("v").alias("id"), "v"))).alias("e")).groupBy("e.id").agg(F.min("e.v").alias("component"))
+
+
+def ends(edges: DataFrame) -> DataFrame:
+    """id, v: each edge from both of its ends."""
+    return edges.select(F.explode(F.array(F.struct(F.col("u").alias("id"), "v"), F.struct(F.col("v").alias("id"), F.col("u").alias("v")))).alias("e")).select("e.*")

@@ -183,7 +183,7 @@ def near_duplicates(documents: DataFrame, k: int = 5, percent: int = 80) -> Data
     repeated = of_doc.withColumn("v", F.min("rep").over(first)).where("rep <> v").select(F.col("rep").alias("u"), "v")
 
     reps = signs.join(of_doc.where("doc_id = rep").select("doc_id").distinct(), "doc_id", "left_semi")
-    short = reps.select("doc_id", "n_shingles", "sig")
+    short = stash(reps.select("doc_id", "n_shingles", "sig"), "short")  # read six times
     postings = reps.select("doc_id", F.explode("bands").alias("band"))
     full = postings.groupBy("band").agg(F.count("*").alias("n")).where("n > 1")
     buckets = stash(postings.join(full, "band"), "buckets")
@@ -200,6 +200,7 @@ def near_duplicates(documents: DataFrame, k: int = 5, percent: int = 80) -> Data
     x, y = short.alias("x"), short.alias("y")
     pairs = pairs.join(x, F.col("u") == F.col("x.doc_id")).join(y, F.col("v") == F.col("y.doc_id")).where(close).select("u", "v")
     near = stash(confirm(pairs, own, k, percent), "links")
+    repeated = stash(repeated, "repeated")
     edges = near.unionByName(repeated)
     labels = components(edges)
 
@@ -232,7 +233,7 @@ def near_duplicates(documents: DataFrame, k: int = 5, percent: int = 80) -> Data
 
     rest = meet(late, every.where("not direct")).unionByName(meet(late.where("not far"), every.where("direct"))).distinct()
     labels = components(edges.unionByName(confirm(rest, own, k, percent)))
-    drop(buckets, met, near, inside)
+    drop(buckets, met, near, repeated, inside, short)
 
     by_doc = of_doc.join(labels, of_doc.rep == labels.id, "left").groupBy("doc_id").agg(F.min(F.coalesce("component", "rep")).alias("component_id"))
     whole = signs.select("doc_id", "n_shingles").join(by_doc, "doc_id", "left").withColumn("component_id", F.coalesce("component_id", "doc_id"))

@@ -114,6 +114,22 @@ def test_components(spark):
     assert got == {**{i: 1 for i in range(1, 61)}, 100: 100, 200: 100, 300: 100}
 
 
+def test_components_in_short_plans(spark, monkeypatch):
+    """What the driver holds of a round grows with its plan: a round reads its edges four times, the labels once."""
+    plans, write = [], components.stash
+
+    def noted(df, name):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString().count("Relation ["))
+        return write(df, name)
+
+    monkeypatch.setattr(components, "stash", noted)
+    chain = spark.createDataFrame([(i, i + 1) for i in range(9)] + [(20, 21), (7, 7)], "u bigint, v bigint")
+    labels = components.components(chain)
+    assert {r.id: r.component for r in labels.collect()} == {i: 0 for i in range(10)} | {20: 20, 21: 20}
+    assert len(plans) > 2 and set(plans[1:]) == {4}
+    assert labels._jdf.queryExecution().optimizedPlan().toString().count("Relation [") == 1
+
+
 def cut_repeats(rows: list[tuple], length: int) -> list[tuple]:
     bodies = [t.encode() for _, t in rows]
     n = collections.Counter(b[i : i + length] for b in bodies for i in range(len(b) - length + 1))
