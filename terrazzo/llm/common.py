@@ -55,12 +55,12 @@ def shuffle_cleanup(spark: SparkSession) -> Iterator[None]:
                 _WRITERS.clear()
 
 
-def stash(df: DataFrame, name: str) -> DataFrame:
+def stash(df: DataFrame, name: str, options: dict[str, str] | None = None) -> DataFrame:
     """Cuts lineage: df as a Parquet table in the shared folder, which outlives any executor."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     with shuffle_cleanup(spark):
-        df.write.option("compression", "zstd").parquet(path)
+        df.write.options(**{"compression": "zstd"} | (options or {})).parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out.stashed = path
     return out

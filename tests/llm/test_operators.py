@@ -537,6 +537,38 @@ def test_line_dedup_of_a_group_of_variants(spark):
     assert got == deduped(rows)
 
 
+def test_line_dedup_meets_hubs_in_few_lists(spark):
+    """Hubs are met in KEYS lists at most, however long the lines, and settle most of a large group of variants."""
+    r = random.Random(9)
+    base = [f"w{i}" for i in range(60)]
+    rows = [(i, " ".join(f"e{i}x{k}" if k in own else w for k, w in enumerate(base))) for i in range(240) for own in [set(r.sample(range(60), r.choice([1, 2, 3, 5, 9])))]]
+    rows += [(1000 + i, " ".join(f"o{i}x{k}" for k in range(80)) + f" pair{i // 2}") for i in range(40)]
+    rows += [(2000, rows[0][1].upper()), (2001, " ".join(base[:59])), (2002, " ".join(base[:45]))]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    lines = linededup.line_tokens(df)
+    nodes = linededup.line_nodes(lines, linededup.rarity(lines), 80).persist()
+    lists = {x.doc_id: x["count"] for x in linededup.common_lists(nodes).groupBy("doc_id").count().collect()}
+    assert set(lists.values()) == {linededup.KEYS} and set(range(240)) <= set(lists)
+    assert linededup.near_hubs(nodes, df, 80).count() > 150
+    nodes.unpersist()
+    got = sorted(((x.doc_id, x.n_lines, x.n_removed, sha(x.text)) for x in linededup.dedup_lines(df).collect()), key=str)
+    assert got == deduped(rows)
+
+
+def test_line_dedup_of_long_and_short_sets(spark):
+    """Pairs on both sides of WIDE, just similar and just not, larger first and smaller first; so each bitmap and prefix is at its limit."""
+    rows = []
+    for i, (size, least) in enumerate((size, least) for size in (5, 40, 60, 64, 65, 70, 79, 80, 81, 200) for least in (-(-size * 80 // 100), -(-size * 80 // 100) - 1)):
+        own = [f"g{i}t{k}" for k in range(size)]
+        for k, w in enumerate([own, own[:least]] if i % 4 < 2 else [own[:least], own]):
+            rows.append((10 * i + k, " ".join(w)))
+        n = size // 9
+        rows += [(10 * i + 2, " ".join([*own[:-n], *(f"g{i}s{k}" for k in range(n))])), (10 * i + 3, " ".join([*own[: -n - 1], *(f"g{i}r{k}" for k in range(n + 1))]))]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    got = sorted(((x.doc_id, x.n_lines, x.n_removed, sha(x.text)) for x in linededup.dedup_lines(df).collect()), key=str)
+    assert got == deduped(rows)
+
+
 def test_eigenvectors():
     r = np.random.default_rng(2)
     a = r.standard_normal((300, 40)) @ np.diag(0.7 ** np.arange(40)) @ r.standard_normal((40, 40))
